@@ -1,2 +1,2 @@
 """Importing this module registers every query."""
-from checks import fleet  # noqa: F401
+from checks import fleet, marts  # noqa: F401

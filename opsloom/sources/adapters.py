@@ -7,14 +7,15 @@ results do not depend on the order of summation.
 """
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Last moment of the events and of the shipments, used as the fixed run date.
+# The fixed run date: the day after the last event.
 EVENTS_AS_OF = "2024-01-31 00:00:00"
-COST_AS_OF = "2001-11-05 00:00:00"
 
 _ENV = "CASE CAST(floor(user_id / 2) AS BIGINT) % 3 WHEN 0 THEN 'prod' WHEN 1 THEN 'staging' ELSE 'dev' END"
 _Q = "(floor(value * 4) / 4)"
 _ID = "CAST(event_id AS STRING)"
 _PART_ENV = "CASE l_partkey % 3 WHEN 0 THEN 'prod' WHEN 1 THEN 'staging' ELSE 'dev' END"
+_COST_TS = "(TIMESTAMP '2023-01-10 00:00:00' + INTERVAL 1 SECOND * (86400 * (l_orderkey % 400)))"
+_USAGE_TS = "(TIMESTAMP '2023-11-15 00:00:00' + INTERVAL 1 SECOND * (86400 * (l_orderkey % 77)))"
 _COST = "(floor(l_extendedprice * (1 - l_discount) * 4) / 4)"
 
 # name -> (source table, {column: expression})
@@ -170,7 +171,7 @@ ADAPTERS = {
         "cost_usd": f"CASE l_orderkey % 53 WHEN 0 THEN CAST(NULL AS DOUBLE) ELSE {_COST} END",
         "usage_amount": "CASE l_linenumber WHEN 7 THEN 'unknown' ELSE CAST(l_quantity AS STRING) END",
         "usage_unit": "'hours'",
-        "cost_date": "CAST(l_shipdate AS DATE)",
+        "cost_date": f"CAST({_COST_TS} AS DATE)",
     }),
     "cost_lines": ("lineitem", {
         "service_id": "CAST(l_suppkey % 5 AS STRING)",
@@ -184,8 +185,8 @@ ADAPTERS = {
         "cost": f"CAST({_COST} AS DECIMAL(18,2))",
         "credit": "CASE WHEN l_discount = 0 THEN CAST(NULL AS DECIMAL(18,2)) "
                   "ELSE CAST(-floor(l_extendedprice * l_discount * 4) / 4 AS DECIMAL(18,2)) END",
-        "usage_date": "CAST(l_shipdate AS DATE)",
-        "usage_start_time": "l_shipdate",
+        "usage_date": f"CAST({_USAGE_TS} AS DATE)",
+        "usage_start_time": _USAGE_TS,
     }),
     "flight_routes": ("events", {
         "flight_id": _ID,
