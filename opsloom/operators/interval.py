@@ -56,29 +56,36 @@ def _point_levels(points: DataFrame, top: int) -> DataFrame:
 
 
 def interval_counts(intervals: DataFrame, points: DataFrame, keys, start, end, at, groups,
-                    before=0, after=0, top=TOP_LEVEL) -> DataFrame:
+                    before=0, after=0, match=(), top=TOP_LEVEL) -> DataFrame:
     """(keys, groups, n): points of each group inside [start - before, end + after].
 
     `keys` are columns of the intervals and identify them, `groups` are columns of the
-    points. Only combinations with n > 0 are returned. The bounds are inclusive.
+    points. `match` lists (interval column, point column) pairs that must be equal as
+    well. Only combinations with n > 0 are returned. The bounds are inclusive.
     """
+    same = [p for _, p in match]
     moments = (
         points.where(F.col(at).isNotNull()).withColumn("_us", micros(at))
-        .groupBy("_us", *groups).agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("_us", *same, *groups).agg(F.count(F.lit(1)).alias("_n"))
     )
-    counted = _point_levels(moments, top).groupBy("level", "block", *groups).agg(F.sum("_n").alias("_n"))
-    pieces = interval_blocks(intervals.select(*keys, start, end), start, end, before, after, top)
+    counted = _point_levels(moments, top).groupBy("level", "block", *same, *groups).agg(F.sum("_n").alias("_n"))
+    kept = list(dict.fromkeys([*keys, start, end, *[i for i, _ in match]]))
+    pieces = interval_blocks(intervals.select(*kept), start, end, before, after, top).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        *[F.col(i).alias(p) for i, p in match], "level", "block")
     return (
-        pieces.select(*keys, "level", "block").join(counted, ["level", "block"])
-        .groupBy(*keys, *groups).agg(F.sum("_n").alias("n"))
+        pieces.join(counted, ["level", "block", *same])
+        .groupBy(*[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)], *groups).agg(F.sum("_n").alias("n"))
     )
 
 
 def covered_points(points: DataFrame, intervals: DataFrame, start, end, at,
-                   before=0, after=0, top=TOP_LEVEL) -> DataFrame:
-    """Points that lie in at least one interval."""
-    pieces = interval_blocks(intervals.select(start, end), start, end, before, after, top)
-    covered = pieces.select("level", "block").distinct()
-    moments = points.where(F.col(at).isNotNull()).select(micros(at).alias("_us")).distinct()
-    hit = _point_levels(moments, top).join(covered, ["level", "block"], "left_semi").select("_us").distinct()
-    return points.withColumn("_us", micros(at)).join(hit, "_us", "left_semi").drop("_us")
+                   before=0, after=0, match=(), top=TOP_LEVEL) -> DataFrame:
+    """Points that lie in at least one interval with equal `match` columns."""
+    same = [p for _, p in match]
+    kept = list(dict.fromkeys([start, end, *[i for i, _ in match]]))
+    pieces = interval_blocks(intervals.select(*kept), start, end, before, after, top)
+    covered = pieces.select("level", "block", *[F.col(i).alias(p) for i, p in match]).distinct()
+    moments = points.where(F.col(at).isNotNull()).select(micros(at).alias("_us"), *same).distinct()
+    hit = _point_levels(moments, top).join(covered, ["level", "block", *same], "left_semi").select("_us", *same).distinct()
+    return points.withColumn("_us", micros(at)).join(hit, ["_us", *same], "left_semi").drop("_us")
