@@ -1,2 +1,2 @@
 """Importing this module registers every query."""
-from checks import fleet, jobs, marts  # noqa: F401
+from checks import fleet, jobs, marts, quality, storage  # noqa: F401

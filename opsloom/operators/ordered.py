@@ -178,6 +178,7 @@ def exponential_mean(df: DataFrame, keys, value: str, span: int, name="ewm_mean"
         *key_fields, T.StructField("_block", T.LongType()),
         T.StructField("_mean_in", T.DoubleType()), T.StructField("_gap_in", T.LongType()),
     ]))
+    columns = df.columns
     out_schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -188,7 +189,7 @@ def exponential_mean(df: DataFrame, keys, value: str, span: int, name="ewm_mean"
             y = smooth(x)
         else:
             y = smooth(np.concatenate([[mean], np.full(gap, np.nan), x]))[1 + gap:]
-        return pdf[df.columns].assign(**{name: y})
+        return pdf[columns].assign(**{name: y})
 
     joined = lookup_join(work, carried, [*keys, "_block"], null_safe=True)
     return joined.groupBy(*keys, "_block").applyInPandas(fill, out_schema)

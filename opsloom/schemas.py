@@ -1,9 +1,9 @@
-"""Schemas of the raw tables."""
+"""Schemas of the raw tables: DDL text, which readers accept, and a struct for the stream."""
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(ddl.split()))
+def _struct(ddl: str) -> str:
+    return " ".join(ddl.split())
 
 
 _LABELS = "ARRAY<STRUCT<key: STRING, value: STRING>>"
@@ -39,11 +39,16 @@ FLEET_EVENTS = _struct("""
     error_budget_burn DOUBLE, cost_centre STRING, squad STRING, ingested_at TIMESTAMP,
     pipeline_version STRING, source_file STRING""")
 
-FLEET_TELEMETRY = _struct("""
-    event_id STRING NOT NULL, cluster_name STRING NOT NULL, node_group STRING,
-    environment STRING NOT NULL, event_type STRING NOT NULL, service_name STRING,
-    aws_region STRING, readiness_score DOUBLE, node_count BIGINT, healthy_nodes BIGINT,
-    desired_tasks BIGINT, running_tasks BIGINT, event_ts TIMESTAMP NOT NULL""")
+# Columns that a message must carry are not nullable.
+FLEET_TELEMETRY = (
+    T.StructType()
+    .add("event_id", "string", False).add("cluster_name", "string", False).add("node_group", "string")
+    .add("environment", "string", False).add("event_type", "string", False).add("service_name", "string")
+    .add("aws_region", "string").add("readiness_score", "double")
+    .add("node_count", "long").add("healthy_nodes", "long")
+    .add("desired_tasks", "long").add("running_tasks", "long")
+    .add("event_ts", "timestamp", False)
+)
 
 SLO_METRICS = _struct("""
     metric_key STRING, service_name STRING, environment STRING, slo_name STRING,
