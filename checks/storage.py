@@ -77,7 +77,7 @@ def s05b(t):
        *marts.SERVICE, d="report_date"))
 def s07(t):
     path = scratch(t, "layout")
-    sinks.write_table(marts.health(t), path, "report_date", ["environment", "service_name", "squad"], salt=4)
+    sinks.write_table(marts.health(t), path, "report_date", ["environment", "service_name", "squad"])
     return tables.read_table(t.spark, path).where("report_date >= DATE '2024-01-20'").select(
         "fleet_health_key", "report_date", "service_name", "total_events")
 

@@ -45,23 +45,21 @@ def workload_baseline_by_day(jobs: DataFrame, days=30, min_n=MIN_BASELINE) -> Da
     days before each date are merged in a range frame over those rows, with the means
     taken around a per-type centre against cancellation.
     """
-    daily = (
-        _first_attempts(jobs, ("SUCCESS", "FAILURE")).groupBy(TYPE, "execution_date").agg(
-            F.count(F.lit(1)).alias("_rows"),
-            F.count("duration_seconds").alias("_n"),
-            F.avg("duration_seconds").alias("_mean"),
-            F.var_pop("duration_seconds").alias("_var"),
-            F.count_if(F.col("status") == "FAILURE").alias("_fails"),
-        )
+    # Days without any first attempt keep a row: they need a baseline as well.
+    counted = F.col("status").isin("SUCCESS", "FAILURE") & (F.col("retry_attempt") == 0)
+    duration = F.when(counted, F.col("duration_seconds"))
+    daily = jobs.groupBy(TYPE, "execution_date").agg(
+        F.count_if(counted).alias("_rows"),
+        F.count(duration).alias("_n"),
+        F.avg(duration).alias("_mean"),
+        F.var_pop(duration).alias("_var"),
+        F.count_if(counted & (F.col("status") == "FAILURE")).alias("_fails"),
     )
-    # Days without any first attempt still need a baseline.
-    dates = jobs.select(TYPE, "execution_date").distinct()
     by_type = Window.partitionBy(TYPE)
     frame = by_type.orderBy(F.unix_date("execution_date")).rangeBetween(-days, -1)
     shift = F.coalesce(F.col("_mean") - F.col("_centre"), F.lit(0.0))
     sums = (
-        dates.join(daily, [TYPE, "execution_date"], "left")
-        .withColumn("_centre", F.coalesce(F.avg("_mean").over(by_type), F.lit(0.0)))
+        daily.withColumn("_centre", F.coalesce(F.avg("_mean").over(by_type), F.lit(0.0)))
         .withColumn("_s", F.col("_n") * shift)
         .withColumn("_ss", F.col("_n") * (F.coalesce("_var", F.lit(0.0)) + shift * shift))
         .select(TYPE, "execution_date", "_centre",

@@ -169,15 +169,17 @@ def health_trend(readiness: DataFrame, as_of, days=30, environment="prod") -> Da
     )
 
 
-def anomaly_summary(log: DataFrame, as_of, days=7) -> DataFrame:
-    """Anomalies by day and severity with the first five affected clusters."""
+def anomaly_summary(log: DataFrame, as_of, days=7, shown=5) -> DataFrame:
+    """Anomalies by day and severity with the first affected clusters. Clusters are counted
+    first and ranked, so no task gathers all clusters of a group."""
+    keys = ["event_date", "anomaly_severity"]
     since = F.date_sub(F.lit(as_of).cast("date"), days)
-    clusters = F.slice(F.array_sort(F.collect_set("cluster_name")), 1, 5)
-    return (
-        log.where(F.col("event_date") >= since).groupBy("event_date", "anomaly_severity")
-        .agg(F.count(F.lit(1)).alias("anomaly_count"), clusters.alias("affected_clusters"))
-        .orderBy(F.desc("event_date"), "anomaly_severity")
-    )
+    counts = log.where(F.col("event_date") >= since).groupBy(*keys, "cluster_name").agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy(*keys).agg(F.sum("n").alias("anomaly_count"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("cluster_name"))
+    first = counts.withColumn("_rank", rank).where(F.col("_rank") <= shown).groupBy(*keys).agg(
+        F.array_sort(F.collect_list("cluster_name")).alias("affected_clusters"))
+    return totals.join(first, keys).orderBy(F.desc("event_date"), "anomaly_severity")
 
 
 def latest_critical(log: DataFrame, day, n=20) -> DataFrame:

@@ -10,6 +10,7 @@ from opsloom.operators.baseline import scored_jobs, workload_baseline, workload_
 from opsloom.operators.cleansing import final_attempts
 from opsloom.operators.interval import covered_points, interval_counts
 from opsloom.params import CLOCK_SKEW_SECONDS, CORRELATION_SECONDS, JOB_ZSCORE_THRESHOLD
+from opsloom.session import settled
 
 SAME_DAY = [("execution_date", "event_date")]
 
@@ -68,18 +69,18 @@ def infra_impact(jobs: DataFrame, events: DataFrame, tolerance=CLOCK_SKEW_SECOND
     return jobs.select(*keys).join(impact, keys, "left").fillna(0, filled)
 
 
-def jobs_with_zscore(jobs: DataFrame, scan_date=None, threshold=JOB_ZSCORE_THRESHOLD) -> DataFrame:
+def jobs_with_zscore(jobs: DataFrame, scan_date=None, threshold=JOB_ZSCORE_THRESHOLD, unique=None) -> DataFrame:
     """Deduplicated jobs scored against the thirty days before their day."""
     baseline = workload_baseline_by_day(jobs) if scan_date is None else workload_baseline(jobs, scan_date)
-    return scored_jobs(deduplicated_jobs(jobs, scan_date), baseline, threshold)
+    unique = deduplicated_jobs(jobs, scan_date) if unique is None else unique
+    return scored_jobs(unique, baseline, threshold)
 
 
 def extract_jobs(jobs: DataFrame, logs: DataFrame, events: DataFrame, as_of, scan_date=None) -> DataFrame:
     """Jobs with scores, resource use and infrastructure impact, anomalies first."""
-    scored = jobs_with_zscore(jobs, scan_date)
-    impact = infra_impact(
-        deduplicated_jobs(jobs, scan_date).select("job_id", "execution_date", "started_at", "completed_at"),
-        on_day(events, "event_date", scan_date))
+    unique = settled(deduplicated_jobs(jobs, scan_date))  # scored and matched with events
+    scored = jobs_with_zscore(jobs, scan_date, unique=unique)
+    impact = infra_impact(unique, on_day(events, "event_date", scan_date))
     resources = resource_summary(logs, scan_date).withColumnRenamed("log_date", "execution_date")
     return (
         scored.join(resources, ["job_id", "execution_date"], "left").join(impact, ["job_id", "execution_date"], "left")
@@ -99,6 +100,7 @@ def overlap_summary(jobs: DataFrame, events: DataFrame, groups, tolerance, match
     """Per group of events: jobs whose run contains one, events inside any run, and the
     mean z over all overlaps, from counts per job and group."""
     keys = ["job_id", "execution_date", "duration_z_score"]
+    jobs = settled(jobs.select(*keys, "started_at", "completed_at"))  # few rows, read twice
     counts = interval_counts(jobs, events, keys, "started_at", "completed_at", "event_timestamp", groups,
                              tolerance, tolerance, match)
     per_group = counts.groupBy(*groups).agg(
@@ -130,6 +132,7 @@ def hourly_pattern(jobs: DataFrame) -> DataFrame:
 
 def event_correlation(jobs: DataFrame, events: DataFrame, tolerance=CORRELATION_SECONDS) -> DataFrame:
     """Events around anomalous runs next to the anomalies that started in the same hour of day."""
+    jobs = settled(jobs)
     hours = hourly_pattern(jobs).withColumnRenamed("start_hour", "event_hour")
     return (
         overlapping_events(jobs, events, tolerance)

@@ -3,6 +3,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsloom.functions import week_start
 from opsloom.operators.quality import failing_unique
+from opsloom.session import settled
 
 
 def write_overwrite(df: DataFrame, path: str) -> None:
@@ -14,15 +15,15 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_table(df: DataFrame, path: str, partition: str, cluster=(), mode="overwrite", salt=1) -> None:
+def write_table(df: DataFrame, path: str, partition: str, cluster=(), mode="overwrite") -> None:
     """Partitioned by one column and sorted by the cluster columns inside files.
 
-    With `salt` n a partition value is written by up to n tasks, which keeps a day
-    that holds a large share of all rows out of a single task.
+    Rows of a partition value are brought together, but the rebalance hint lets the
+    adaptive planner split a value that outgrows one task (a day of 100 TB) into several
+    files and merge small values. An overwrite replaces the partitions that occur in df.
     """
-    spread = [partition] if salt <= 1 else [partition, F.pmod(F.xxhash64(*df.columns), F.lit(salt))]
     (
-        df.repartition(*spread).sortWithinPartitions(partition, *cluster)
+        df.hint("rebalance", F.col(partition)).sortWithinPartitions(partition, *cluster)
         .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     )
 
@@ -30,6 +31,7 @@ def write_table(df: DataFrame, path: str, partition: str, cluster=(), mode="over
 def replace_partitions(df: DataFrame, path: str, partition: str, key, cluster=()) -> None:
     """Replace the partitions that occur in df, leave the others. The key must be unique."""
     key = [key] if isinstance(key, str) else list(key)
+    df = settled(df)  # read twice: by the key test and by the write
     if not failing_unique(df, *key).isEmpty():
         raise ValueError(f"key {key} is not unique in the new rows")
     write_table(df, path, partition, cluster)
