@@ -1,27 +1,81 @@
-"""Counting points inside intervals without forming (interval, point) pairs.
+"""Points inside intervals, without forming (interval, point) pairs.
 
-Time is cut into aligned blocks of 4^0, 4^1, ... microseconds. An interval is the
-disjoint union of a few blocks per level, and a point lies in one block per
-level. Points are counted per (level, block, group) with map-side combining, intervals
-are joined to those counts by equality, and the counts add up. The result is
-linear in the intervals however many points or intervals fall into the same moment.
+Points and interval bounds are sorted into one line of time, and running sums along that
+line answer everything: how many points lie before a bound, or how many intervals are
+open at a point. The cost is linear in points plus intervals, however many of them fall
+into the same moment. Bounds are inclusive; intervals with a NULL bound or an end
+before the start contain nothing.
+
+`match` lists (interval column, point column) pairs that must be equal as well, such as a
+common date; the line of time is then cut by those columns.
 """
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opsloom.functions import micros
+from opsloom.operators.ordered import running_totals
+from opsloom.session import settled
 
-TOP_LEVEL = 18  # 4^18 microseconds are 19 hours; longer intervals use several top blocks
+START, POINT, END = 0, 1, 2  # order of rows with the same time
+TOP_LEVEL = 14  # runs of 4^14 moments; longer ranges use several of them
 
 
-def _block_list(lo: str, hi: str, top: int) -> Column:
-    """Blocks that make up the whole microseconds lo..hi, both included."""
-    end = f"({hi} + 1)"
+def _union(*frames: DataFrame) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def _bounds(intervals: DataFrame, keys, start, end, before, after, match) -> DataFrame:
+    """Two rows per interval: its keys, the match columns, the time and the kind of bound."""
+    lo = micros(start) - int(before * 1_000_000)
+    hi = micros(end) + int(after * 1_000_000)
+    rows = F.array(*[F.struct(us.alias("_us"), F.lit(kind).alias("_kind")) for us, kind in ((lo, START), (hi, END))])
+    return intervals.where(lo <= hi).dropna(subset=[start, end, *[i for i, _ in match]]).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[F.col(i).alias(p) for i, p in match], F.inline(rows))
+
+
+def _points(points: DataFrame, at, same=()) -> DataFrame:
+    return points.dropna(subset=[at, *same]).withColumn("_us", micros(at))
+
+
+def _on_line(line: DataFrame, keys, same, columns) -> DataFrame:
+    return running_totals(line, same, ["_us", "_kind", *[f"_k{i}" for i in range(len(keys))]], columns)
+
+
+def _difference(c) -> Column:
+    """Running sum at the end of an interval minus the one at its start."""
+    return F.sum(F.when(F.col("_kind") == END, F.col(c)).otherwise(-F.col(c)))
+
+
+def _restored(keys):
+    return [F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)]
+
+
+def interval_sums(intervals: DataFrame, points: DataFrame, keys, start, end, at, measures: dict,
+                  before=0, after=0, match=()) -> DataFrame:
+    """(keys, measures): sums over the points inside [start - before, end + after].
 
+    `measures` maps names to integer columns of the points; points of the same moment are
+    added up before they are sorted. Every interval with proper bounds is returned.
+    """
+    same = [p for _, p in match]
+    moments = _points(points, at, same).groupBy(*same, "_us").agg(
+        *[F.sum(c).cast("bigint").alias(n) for n, c in measures.items()]).withColumn("_kind", F.lit(POINT))
+    bounds = _bounds(intervals, keys, start, end, before, after, match)
+    line = _union(bounds, moments).fillna(0, list(measures))
+    return (
+        _on_line(line, keys, same, list(measures)).where(F.col("_kind") != POINT)
+        .groupBy(*_restored(keys)).agg(*[_difference(n).alias(n) for n in measures])
+    )
+
+
+def _block_list(lo: str, hi: str, top: int) -> Column:
+    """Aligned blocks of 4^0, 4^1, ... numbers that make up lo .. hi - 1."""
     def first(level):
         return f"shiftright({lo} + shiftleft(1L, 2 * ({level})) - 1L, 2 * ({level}))"
 
     def stop(level):
-        return f"shiftright({end}, 2 * ({level}))"
+        return f"shiftright({hi}, 2 * ({level}))"
 
     a, b, ua, ub = first("l"), stop("l"), f"4L * {first('l + 1')}", f"4L * {stop('l + 1')}"
     none = "cast(array() as array<bigint>)"
@@ -36,56 +90,49 @@ def _block_list(lo: str, hi: str, top: int) -> Column:
             x -> struct(l AS level, x AS block))))""")
 
 
-def interval_blocks(intervals: DataFrame, start, end, before=0, after=0, top=TOP_LEVEL) -> DataFrame:
-    """Explode intervals into their blocks, widened by whole seconds. Intervals with a
-    NULL bound or an end before the start contain nothing and vanish."""
-    lo = micros(start) - int(before * 1_000_000)
-    hi = micros(end) + int(after * 1_000_000)
-    return (
-        intervals.withColumn("_lo", lo).withColumn("_hi", hi).where("_lo <= _hi")
-        .withColumn("_b", F.explode(_block_list("_lo", "_hi", top)))
-        .select("*", "_b.level", "_b.block").drop("_b", "_lo", "_hi")
-    )
-
-
-def _point_levels(points: DataFrame, top: int) -> DataFrame:
-    return (
-        points.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top))))
-        .withColumn("block", F.expr("shiftright(_us, 2 * level)"))
-    )
-
-
 def interval_counts(intervals: DataFrame, points: DataFrame, keys, start, end, at, groups,
                     before=0, after=0, match=(), top=TOP_LEVEL) -> DataFrame:
-    """(keys, groups, n): points of each group inside [start - before, end + after].
+    """(keys, groups, n): points of each group inside [start - before, end + after], n > 0.
 
-    `keys` are columns of the intervals and identify them, `groups` are columns of the
-    points. `match` lists (interval column, point column) pairs that must be equal as
-    well. Only combinations with n > 0 are returned. The bounds are inclusive.
+    For groups that are not known beforehand. The line of time numbers the moments, so
+    an interval becomes a range of numbers, which is the disjoint union of a few
+    aligned blocks. Points are counted per (block, group) once, and an equality join on
+    blocks adds those counts up.
     """
     same = [p for _, p in match]
-    moments = (
-        points.where(F.col(at).isNotNull()).withColumn("_us", micros(at))
-        .groupBy("_us", *same, *groups).agg(F.count(F.lit(1)).alias("_n"))
+    moments = settled(_points(points, at, same).groupBy(*same, "_us", *groups).agg(F.count(F.lit(1)).alias("_n")))
+    times = moments.select(*same, "_us").distinct().select(
+        "*", F.lit(POINT).alias("_kind"), F.lit(1).cast("bigint").alias("_rank"))
+    bounds = _bounds(intervals, keys, start, end, before, after, match).withColumn("_rank", F.lit(0).cast("bigint"))
+    ranked = settled(_on_line(_union(bounds, times), keys, same, ["_rank"]))
+
+    numbered = moments.join(
+        ranked.where(F.col("_kind") == POINT).select(*same, "_us", (F.col("_rank") - 1).alias("_no")), [*same, "_us"])
+    counted = (
+        numbered.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top))))
+        .groupBy("level", F.expr("shiftright(_no, 2 * level)").alias("block"), *same, *groups).agg(F.sum("_n").alias("_n"))
     )
-    counted = _point_levels(moments, top).groupBy("level", "block", *same, *groups).agg(F.sum("_n").alias("_n"))
-    kept = list(dict.fromkeys([*keys, start, end, *[i for i, _ in match]]))
-    pieces = interval_blocks(intervals.select(*kept), start, end, before, after, top).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        *[F.col(i).alias(p) for i, p in match], "level", "block")
+    key_columns = [f"_k{i}" for i in range(len(keys))]
+    ranges = ranked.where(F.col("_kind") != POINT).groupBy(*key_columns, *same).agg(
+        F.max(F.when(F.col("_kind") == START, F.col("_rank"))).alias("_lo"),
+        F.max(F.when(F.col("_kind") == END, F.col("_rank"))).alias("_hi"),
+    ).where("_lo < _hi")
+    pieces = ranges.withColumn("_b", F.explode(_block_list("_lo", "_hi", top))).select(
+        *key_columns, *same, "_b.level", "_b.block")
     return (
         pieces.join(counted, ["level", "block", *same])
-        .groupBy(*[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)], *groups).agg(F.sum("_n").alias("n"))
+        .groupBy(*_restored(keys), *groups).agg(F.sum("_n").alias("n"))
     )
 
 
-def covered_points(points: DataFrame, intervals: DataFrame, start, end, at,
-                   before=0, after=0, match=(), top=TOP_LEVEL) -> DataFrame:
-    """Points that lie in at least one interval with equal `match` columns."""
+def covered_points(points: DataFrame, intervals: DataFrame, start, end, at, before=0, after=0, match=()) -> DataFrame:
+    """Points that lie in at least one interval: those at which an interval is open."""
     same = [p for _, p in match]
-    kept = list(dict.fromkeys([start, end, *[i for i, _ in match]]))
-    pieces = interval_blocks(intervals.select(*kept), start, end, before, after, top)
-    covered = pieces.select("level", "block", *[F.col(i).alias(p) for i, p in match]).distinct()
-    moments = points.where(F.col(at).isNotNull()).select(micros(at).alias("_us"), *same).distinct()
-    hit = _point_levels(moments, top).join(covered, ["level", "block", *same], "left_semi").select("_us", *same).distinct()
-    return points.withColumn("_us", micros(at)).join(hit, ["_us", *same], "left_semi").drop("_us")
+    # Equal bounds are merged, and each one adds or ends that many intervals.
+    bounds = _bounds(intervals, [], start, end, before, after, match).groupBy(*same, "_us", "_kind").agg(
+        F.count(F.lit(1)).alias("_n"))
+    steps = bounds.select(*same, "_us", "_kind", F.when(F.col("_kind") == START, F.col("_n")).otherwise(-F.col("_n")).alias("_open"))
+    times = _points(points, at, same).select(*same, "_us").distinct().select(
+        "*", F.lit(POINT).alias("_kind"), F.lit(0).cast("bigint").alias("_open"))
+    inside = _on_line(_union(steps, times), [], same, ["_open"]).where((F.col("_kind") == POINT) & (F.col("_open") > 0))
+    return _points(points, at, same).join(inside.select(*same, "_us"), [*same, "_us"], "left_semi").drop("_us")

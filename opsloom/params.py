@@ -7,6 +7,9 @@ ENVIRONMENTS = ["dev", "staging", "prod"]
 JOB_STATUSES = ["SUCCESS", "FAILURE", "TIMEOUT", "CANCELLED", "RETRYING"]
 WORKLOAD_TYPES = ["model_training", "inference", "data_processing", "fine_tuning"]
 EXPECTED_WORKLOADS = ["model_training", "inference", "data_processing"]
+INFRA_EVENT_TYPES = [
+    "NODE_PREEMPTION", "SPOT_INTERRUPT", "QUOTA_THROTTLE", "NETWORK_DEGRADATION", "SERVICE_DISRUPTION",
+]
 ANOMALY_SEVERITIES = ["low", "medium", "high", "critical"]
 
 # Job columns.

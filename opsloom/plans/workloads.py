@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from opsloom.functions import pct_change, safe_divide
 from opsloom.operators.baseline import scored_jobs, workload_baseline, workload_baseline_by_day
 from opsloom.operators.cleansing import final_attempts
-from opsloom.operators.interval import covered_points, interval_counts
-from opsloom.params import CLOCK_SKEW_SECONDS, CORRELATION_SECONDS, JOB_ZSCORE_THRESHOLD
+from opsloom.operators.interval import covered_points, interval_counts, interval_sums
+from opsloom.params import CLOCK_SKEW_SECONDS, CORRELATION_SECONDS, INFRA_EVENT_TYPES, JOB_ZSCORE_THRESHOLD
 from opsloom.session import settled
 
 SAME_DAY = [("execution_date", "event_date")]
@@ -46,26 +46,45 @@ def missed_window_share(summary: DataFrame) -> DataFrame:
 
 
 def infra_impact(jobs: DataFrame, events: DataFrame, tolerance=CLOCK_SKEW_SECONDS) -> DataFrame:
-    """Infrastructure events of the same day inside each job's run, widened by the clock skew."""
-    keys = ["job_id", "execution_date"]
-    counts = interval_counts(
-        jobs, events.where(F.col("event_id").isNotNull()), keys, "started_at", "completed_at", "event_timestamp",
-        ["event_type", "severity"], tolerance, tolerance, match=SAME_DAY,
-    )
+    """Infrastructure events of the same day inside each job's run, widened by the clock skew.
 
-    def of(condition):
-        return F.sum(F.when(condition, F.col("n")).otherwise(0))
-
-    kind = F.col("event_type")
-    impact = counts.groupBy(*keys).agg(
-        F.sum("n").alias("overlapping_infra_events"),
-        of(F.col("severity") == "CRITICAL").alias("critical_infra_events"),
-        of(kind == "NODE_PREEMPTION").alias("preemption_events"),
-        of(kind == "SPOT_INTERRUPT").alias("spot_interruptions"),
-        of(kind == "QUOTA_THROTTLE").alias("quota_throttle_events"),
-        F.array_join(F.sort_array(F.collect_set(kind)), ", ").alias("impacting_event_types"),
+    Events of the documented types are summed along the line of time, one column per
+    type. Events of any other type, should there be some, take the general path.
+    """
+    keys, run = ["job_id", "execution_date"], ("started_at", "completed_at", "event_timestamp")
+    events = events.where(F.col("event_id").isNotNull())
+    kind, critical = F.col("event_type"), F.col("severity") == "CRITICAL"
+    known = F.coalesce(kind.isin(INFRA_EVENT_TYPES), F.lit(False))
+    names = {t: f"_t{i}" for i, t in enumerate(INFRA_EVENT_TYPES)}
+    sums = interval_sums(jobs, events.where(known), keys, *run, {
+        "_critical": critical.cast("int"), **{n: (kind == t).cast("int") for t, n in names.items()},
+    }, tolerance, tolerance, SAME_DAY)
+    counted = F.expr(" + ".join(names.values()))
+    types = F.filter(F.array(*[F.when(F.col(n) > 0, F.lit(t)) for t, n in names.items()]), lambda t: t.isNotNull())
+    impact = sums.withColumns({"_all": counted, "_types": types})
+    others = events.where(~known)
+    if others.isEmpty():
+        impact = impact.withColumns({"_more": F.lit(0), "_more_critical": F.lit(0), "_more_types": F.array().cast("array<string>")})
+    else:
+        rest = interval_counts(jobs, others, keys, *run, ["event_type", "severity"], tolerance, tolerance, SAME_DAY)
+        rest = rest.groupBy(*keys, "event_type").agg(
+            F.sum("n").alias("n"), F.sum(F.when(critical, F.col("n")).otherwise(0)).alias("c"),
+        ).groupBy(*keys).agg(
+            F.sum("n").alias("_more"), F.sum("c").alias("_more_critical"), F.collect_list("event_type").alias("_more_types"))
+        impact = impact.join(rest, keys, "left")
+    zero = F.lit(0)
+    listed = F.sort_array(F.concat("_types", F.coalesce("_more_types", F.array().cast("array<string>"))))
+    filled = ["overlapping_infra_events", "critical_infra_events", "preemption_events", "spot_interruptions",
+              "quota_throttle_events"]
+    impact = impact.select(
+        *keys,
+        (F.col("_all") + F.coalesce("_more", zero)).alias("overlapping_infra_events"),
+        (F.col("_critical") + F.coalesce("_more_critical", zero)).alias("critical_infra_events"),
+        F.col(names["NODE_PREEMPTION"]).alias("preemption_events"),
+        F.col(names["SPOT_INTERRUPT"]).alias("spot_interruptions"),
+        F.col(names["QUOTA_THROTTLE"]).alias("quota_throttle_events"),
+        F.when(F.size(listed) > 0, F.array_join(listed, ", ")).alias("impacting_event_types"),
     )
-    filled = [c for c in impact.columns if c not in (*keys, "impacting_event_types")]
     return jobs.select(*keys).join(impact, keys, "left").fillna(0, filled)
 
 
