@@ -438,3 +438,10 @@ def a21(t):
     "job_metadata", "resource_allocation_logs", USAGE, d="summary_date", f=USAGE_F + " prev_day_cost_usd cost_change_pct"))
 def w08(t):
     return workloads.resource_utilisation(t.resource_allocation_logs, t.job_metadata)
+
+
+@query("O01_anomalies_first", oracle(
+    "SELECT job_id, workload_type, duration_z_score, is_duration_anomaly FROM zscored", *EXTRACT, f="duration_z_score"))
+def o01(t):
+    scored = workloads.jobs_with_zscore(t.job_metadata).select("job_id", "workload_type", "duration_z_score", "is_duration_anomaly")
+    return workloads.anomalies_first(scored)

@@ -77,18 +77,23 @@ def rolling_stats(df: DataFrame, keys, value, rows: int, pos="pos", size=BLOCK)
     return out.withColumn("z_score", z)
 
 
-def running_totals(df: DataFrame, keys, order_by, columns) -> DataFrame:
+def running_totals(df: DataFrame, keys, order_by, columns, whole=()) -> DataFrame:
     """Replace columns by their running sums within each key, the row itself included.
 
     A distributed prefix sum: sums inside each range of the (key, order) sort, plus the
     totals of the ranges before. `order_by` must split ties well, because rows that are
-    equal in it land in one task.
+    equal in it land in one task. For columns in `whole` the sum over the key is
+    added as total_<column>.
     """
     ranged = settled(df.repartitionByRange(*keys, *order_by).withColumn("_part", F.spark_partition_id()))
-    totals = ranged.groupBy(*keys, "_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_part", *[
-        F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}") for c in columns])
+    per_range = ranged.groupBy(*keys, "_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
+    by_key = Window.partitionBy(*keys)
+    earlier = by_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select(
+        *keys, "_part",
+        *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}") for c in columns],
+        *[F.sum(f"_t_{c}").over(by_key).alias(f"total_{c}") for c in whole],
+    )
     inside = Window.partitionBy(*keys, "_part").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
     summed = ranged.select(
         *[c for c in df.columns if c not in columns], "_part", *[F.sum(c).over(inside).alias(c) for c in columns])
@@ -105,11 +110,9 @@ def exact_percentiles(df: DataFrame, keys, value: str, quantiles: dict, weight:
     fractions; the count of values is returned as `n_values`.
     """
     amount = F.sum(weight) if weight else F.count(F.lit(1))
-    merged = settled(
-        df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(amount.alias("_n")))
-    sizes = merged.groupBy(*keys).agg(F.sum("_n").alias("n_values"))
-    running = running_totals(merged.withColumn("_hi", F.col("_n")), keys, ["_v"], ["_hi"])
-    ranked = lookup_join(running, sizes, keys, null_safe=True).withColumn("_lo", F.col("_hi") - F.col("_n"))
+    merged = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(amount.alias("_n"))
+    running = running_totals(merged.withColumn("_hi", F.col("_n")), keys, ["_v"], ["_hi"], whole=["_hi"])
+    ranked = running.withColumnRenamed("total__hi", "n_values").withColumn("_lo", F.col("_hi") - F.col("_n"))
 
     def target(q):
         return F.lit(float(q)) * (F.col("n_values") - 1)

@@ -59,8 +59,8 @@ BILLING_KEYS = ["project_id", "team_label", "env_label", "service_description",
 
 def cost_attribution(billing: DataFrame) -> DataFrame:
     """Monthly gross, credit and net cost with the change against the month before.
-    Aggregation comes first; the window sees one row per month and key."""
-    net = F.col("cost_usd") + F.col("total_credits_usd")
+    Aggregation comes first; the window sees one row per month and key. Neither cost nor
+    credits are NULL after staging, so the net sum is the sum of both sums."""
     monthly = (
         billing.withColumns({
             "billing_month": month_start("usage_date"),
@@ -71,9 +71,9 @@ def cost_attribution(billing: DataFrame) -> DataFrame:
         .agg(
             F.sum("cost_usd").alias("gross_cost_usd"),
             F.sum("total_credits_usd").alias("total_credits_usd"),
-            F.sum(net).alias("net_cost_usd"),
             F.count_distinct("usage_date").alias("billing_days"),
         )
+        .withColumn("net_cost_usd", F.col("gross_cost_usd") + F.col("total_credits_usd"))
     )
     previous = F.lag("net_cost_usd").over(Window.partitionBy(*BILLING_KEYS).orderBy("billing_month"))
     change = pct_change(F.col("net_cost_usd").cast("double"), previous.cast("double"))

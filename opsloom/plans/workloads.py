@@ -96,7 +96,7 @@ def jobs_with_zscore(jobs: DataFrame, scan_date=None, threshold=JOB_ZSCORE_THRES
 
 
 def extract_jobs(jobs: DataFrame, logs: DataFrame, events: DataFrame, as_of, scan_date=None) -> DataFrame:
-    """Jobs with scores, resource use and infrastructure impact, anomalies first."""
+    """Jobs with scores, resource use and infrastructure impact. Unordered: see `anomalies_first`."""
     unique = settled(deduplicated_jobs(jobs, scan_date))  # scored and matched with events
     scored = jobs_with_zscore(jobs, scan_date, unique=unique)
     impact = infra_impact(unique, on_day(events, "event_date", scan_date))
@@ -104,10 +104,14 @@ def extract_jobs(jobs: DataFrame, logs: DataFrame, events: DataFrame, as_of, sca
     return (
         scored.join(resources, ["job_id", "execution_date"], "left").join(impact, ["job_id", "execution_date"], "left")
         .withColumn("extracted_at", F.lit(as_of).cast("timestamp"))
-        .orderBy(F.desc("is_duration_anomaly"), F.desc_nulls_last(F.abs("duration_z_score")))
     )
 
 
+def anomalies_first(extracted: DataFrame) -> DataFrame:
+    """The order of presentation. Not part of the extraction, as it shuffles every row."""
+    return extracted.orderBy(F.desc("is_duration_anomaly"), F.desc_nulls_last(F.abs("duration_z_score")))
+
+
 def anomalous_jobs(scored: DataFrame, threshold=JOB_ZSCORE_THRESHOLD) -> DataFrame:
     """Successful jobs that ran unusually long."""
     return scored.where(
