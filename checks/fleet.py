@@ -81,7 +81,7 @@ DAILY_ANOMALIES = """daily_anomalies AS (
     FROM candidates GROUP BY ALL)"""
 DAILY = f"""daily AS (
     SELECT cluster_name, environment, event_date,
-           {rnd('sum(CAST(round(fleet_health_score * 100) AS BIGINT))::DOUBLE / (100 * count(*))', 2)} AS avg_fleet_health_score,
+           {rnd('sum(CAST(round(fleet_health_score * 100) AS BIGINT))::DOUBLE / (100 * count(fleet_health_score))', 2)} AS avg_fleet_health_score,
            min(fleet_health_score) AS min_fleet_health_score, max(fleet_health_score) AS max_fleet_health_score,
            {rnd('stddev_samp(fleet_health_score)', 2)} AS stddev_fleet_health_score,
            count(*) FILTER (is_slo_compliant) AS slo_compliant_hours, count(*) AS total_hours,
