@@ -1,9 +1,11 @@
 """Job telemetry queries: cleansing, baselines, extraction, correlation, utilisation."""
+from checks import fleet as fleet_checks
 from checks.registry import div, oracle, query, rnd
-from opsloom.operators import baseline, cleansing
+from opsloom.functions import rolling_zscore, zscore
+from opsloom.operators import baseline, cleansing, staging
 from opsloom.operators.interval import interval_counts
 from opsloom.operators.ordered import positions, rolling_stats
-from opsloom.plans import workloads
+from opsloom.plans import fleet, workloads
 from opsloom.sources.adapters import EVENTS_AS_OF
 from pyspark.sql import functions as F
 
@@ -445,3 +447,22 @@ def w08(t):
 def o01(t):
     scored = workloads.jobs_with_zscore(t.job_metadata).select("job_id", "workload_type", "duration_z_score", "is_duration_anomaly")
     return workloads.anomalies_first(scored)
+
+
+@query("W12_zscore_window", oracle(
+    """SELECT cluster_name, environment, event_hour,
+              (fleet_health_score - avg(fleet_health_score) OVER w) / NULLIF(stddev_pop(fleet_health_score) OVER w, 0) AS z_score
+       FROM scores WINDOW w AS (PARTITION BY cluster_name, environment)""", *fleet_checks.FLEET, t="event_hour", f="z_score"))
+def w12w(t):
+    return fleet_checks.scores(t).select("cluster_name", "environment", "event_hour", zscore(
+        "fleet_health_score", ["cluster_name", "environment"]).alias("z_score"))
+
+
+@query("W11_rolling_zscore", oracle(
+    """SELECT cluster_name, environment, event_hour,
+              (avg_readiness_score - avg(avg_readiness_score) OVER w) / CASE WHEN stddev_pop(avg_readiness_score) OVER w > 1e-9 THEN stddev_pop(avg_readiness_score) OVER w END AS z_score
+       FROM hourly_fleet WINDOW w AS (PARTITION BY cluster_name, environment ORDER BY event_hour ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)""",
+    *fleet_checks.FLEET, t="event_hour", f="z_score"))
+def w11(t):
+    return fleet.hourly_fleet(staging.fleet_telemetry(t.fleet_telemetry)).select("cluster_name", "environment", "event_hour", rolling_zscore(
+        "avg_readiness_score", ["cluster_name", "environment"], ["event_hour"]).alias("z_score"))
