@@ -216,17 +216,17 @@ def a23(t):
 
 
 @query("P22_latest_critical", oracle(
-    f"""SELECT {LOG_COLUMNS} FROM candidates WHERE event_date = DATE '2024-01-30' AND anomaly_severity = 'critical'
+    f"""SELECT {LOG_COLUMNS} FROM candidates WHERE event_date = DATE '2024-01-01' AND anomaly_severity = 'critical'
         ORDER BY event_hour DESC, cluster_name, environment LIMIT 20""",
     *CANDIDATES, d="event_date", t="event_hour",
     f="fleet_health_score rolling_mean rolling_stddev z_score iqr_lower_bound iqr_upper_bound"))
 def p22(t):
-    return fleet.latest_critical(fleet.anomaly_log(candidates(t)), "2024-01-30")
+    return fleet.latest_critical(fleet.anomaly_log(candidates(t)), "2024-01-01")
 
 
 @query("Q24_critical_counts", oracle(
-    """SELECT count(*) FILTER (anomaly_severity = 'critical' AND event_date = DATE '2024-01-30') AS critical_yesterday,
-              count(*) FILTER (anomaly_severity = 'critical' AND event_hour >= TIMESTAMP '2024-01-30 23:00:00') AS critical_last_hour
+    """SELECT count(*) FILTER (anomaly_severity = 'critical' AND event_date = DATE '2024-01-01') AS critical_yesterday,
+              count(*) FILTER (anomaly_severity = 'critical' AND event_hour >= TIMESTAMP '2024-01-01 23:00:00') AS critical_last_hour
        FROM candidates""", *CANDIDATES))
 def q24(t):
-    return fleet.critical_counts(fleet.anomaly_log(candidates(t)), EVENTS_AS_OF)
+    return fleet.critical_counts(fleet.anomaly_log(candidates(t)), "2024-01-02 00:00:00")

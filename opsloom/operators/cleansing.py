@@ -81,15 +81,21 @@ def resource_fills(df: DataFrame, columns, strategy="workload_median") -> DataFr
     if strategy == "workload_median":
         medians = exact_percentiles(counted, ["name", "workload_type"], "value", {"median": 0.5}, "n").drop("n_values")
         typed = settled(nulls.join(medians, ["name", "workload_type"], "left"))
+        # Only columns that some type leaves without a median need the overall one.
+        open_columns = [r["name"] for r in typed.where("median IS NULL AND nulls > 0").select("name").distinct().collect()]
         filled = counted.where("value IS NOT NULL").select("name", "value", "n").unionByName(
             typed.where("median IS NOT NULL AND nulls > 0").selectExpr("name", "median AS value", "nulls AS n"))
     else:
-        typed = nulls.withColumn("median", F.lit(None).cast("double"))
+        typed, open_columns = nulls.withColumn("median", F.lit(None).cast("double")), columns
         filled = counted.where("value IS NOT NULL").select("name", "value", "n")
-    overall = exact_percentiles(filled, ["name"], "value", {"overall": 0.5}, "n").drop("n_values")
-    value = F.coalesce("median", "overall")
+    value = F.col("median")
+    if open_columns:
+        overall = exact_percentiles(
+            filled.where(F.col("name").isin(open_columns)), ["name"], "value", {"overall": 0.5}, "n").drop("n_values")
+        typed = typed.join(overall, "name", "left")
+        value = F.coalesce("median", "overall")
     return (
-        typed.join(overall, "name", "left").groupBy("workload_type")
+        typed.groupBy("workload_type")
         .agg(*[F.max(F.when(F.col("name") == c, value)).alias(f"_fill_{c}") for c in columns])
     )
 
