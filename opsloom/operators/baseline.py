@@ -197,9 +197,8 @@ def anomaly_report(scored: DataFrame, as_of, threshold=JOB_ZSCORE_THRESHOLD) ->
             TYPE, F.struct("count", "avg_deviation_pct", "max_z_score").alias("v")))).alias("by_workload_type"))
     top = top_anomalies(anomalies)
     tops = top.agg(F.collect_list(F.struct(*top.columns)).alias("top_anomalies"))
-    k = F.lit(1)
-    return (
-        anomaly_rate(scored, threshold).withColumn("_k", k)
-        .join(by_type.withColumn("_k", k), "_k").join(tops.withColumn("_k", k), "_k").drop("_k")
-        .withColumn("generated_at", F.lit(as_of).cast("timestamp"))
-    )
+    parts = anomaly_rate(scored, threshold)
+    for one_row in (by_type, tops):
+        parts = parts.unionByName(one_row, allowMissingColumns=True)
+    return parts.agg(*[F.first(c, ignorenulls=True).alias(c) for c in parts.columns]).withColumn(
+        "generated_at", F.lit(as_of).cast("timestamp"))

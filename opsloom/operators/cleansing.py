@@ -156,8 +156,8 @@ def cleansing_report(df: DataFrame) -> DataFrame:
         nulls.alias("null_values_imputed"),
         F.count_if(~valid_enums()).alias("invalid_enum_rows_dropped"),
     )
-    # both sides are one row
-    both = before.withColumn("_k", F.lit(1)).join(after.withColumn("_k", F.lit(1)), "_k")
+    both = before.unionByName(after, allowMissingColumns=True)  # two rows, folded into one
+    both = both.agg(*[F.max(c).alias(c) for c in both.columns])
     valid = F.col("input_rows") - F.col("dropped_missing_required")
     return both.select(
         "input_rows", "dropped_missing_required", "timestamp_skew_corrections",
