@@ -40,3 +40,14 @@ def starts_of_groups(*columns) -> np.ndarray:
     for c in columns:
         change[1:] |= c[1:] != c[:-1]
     return np.flatnonzero(change)
+
+
+def kept_rows(docs: DataFrame, keep: DataFrame) -> DataFrame:
+    """Rows of docs whose (doc_id, XXH64 of the text) stand in keep as (id, h), with all their columns; of rows that
+    agree in both one stays. Texts are shuffled once more only where such rows exist."""
+    marked = docs.withColumn("_hash_", F.xxhash64(text_of()))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id_")) & (F.col("_hash_") == F.col("_h_"))
+    out = marked.join(keep.select(F.col("id").alias("_id_"), F.col("h").alias("_h_")), same, "left_semi")
+    if marked.groupBy("doc_id", "_hash_").count().where("count > 1").limit(1).count():
+        out = out.dropDuplicates(["doc_id", "_hash_"])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from opsloom.llm.common import settled, starts_of_groups, tasks, text_of
+from opsloom.llm.common import kept_rows, settled, starts_of_groups, tasks, text_of
 
 FAN = 8
 SLICES = 256
@@ -49,8 +49,8 @@ def exact_groups(docs: DataFrame, fan: int = FAN) -> DataFrame:
     """
     text = normalised(text_of())
     digests = settled(docs.select(
-        F.col("doc_id").cast("long").alias("id"), text.alias("t")).select(
-        "id", F.unhex(F.sha2("t", 256)).alias("digest"), F.xxhash64("t").alias("short"),
+        F.col("doc_id").cast("long").alias("id"), F.xxhash64(text_of()).alias("text_hash"), text.alias("t")).select(
+        "id", "text_hash", F.unhex(F.sha2("t", 256)).alias("digest"), F.xxhash64("t").alias("short"),
         F.spark_partition_id().alias("run"), F.monotonically_increasing_id().alias("row")))
     order = [*KEY, "no_id", "id", "row"]
     entries = digests.select(
@@ -70,14 +70,10 @@ def exact_groups(docs: DataFrame, fan: int = FAN) -> DataFrame:
         whole, (F.col("short") == F.col("s")) & (F.col("digest") == F.col("d"))).drop("s", "d")
     return digests.join(replies, KEY).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"), "row")
+        F.lower(F.hex("digest")).alias("text_sha256"), "text_hash")
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns. Rows are told apart by their id; of rows with an id in
     common and equal text one stays."""
-    columns = docs.columns
-    marked = docs.withColumn("_text_", F.sha2(normalised(text_of()), 256))
-    keep = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id_"), F.col("text_sha256").alias("_sha_"))
-    first = marked.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_id_")) & (F.col("_text_") == F.col("_sha_")), "left_semi")
-    return first.dropDuplicates(["doc_id", "_text_"]).select(*[F.col(f"`{c}`") for c in columns])
+    return kept_rows(docs, exact_groups(docs).where("kept").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("h")))

@@ -1,5 +1,7 @@
 """Queries on whole documents: exact and near copies, repeated passages."""
-from opsloom.llm import exact_dedup as exact
+from pyspark.sql import functions as F
+
+from opsloom.llm import exact_dedup as exact, simhash
 from opsloom.llm.common import table
 from opsloom.llm.queries import query
 
@@ -12,4 +14,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 
 @query("op4_exact_dedup", OP4_SQL)
 def exact_copies(spark, folder):
-    return exact.exact_groups(table(spark, folder, "documents")).drop("row")
+    return exact.exact_groups(table(spark, folder, "documents")).drop("text_hash")
+
+
+@query("op7_simhash_golay")
+def near_copies(spark, folder):
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -1,7 +1,8 @@
 """Queries on texts and conversations."""
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from opsloom.llm import chat
+from opsloom.llm import bpe, chat, packing
 from opsloom.llm.common import table, text_of
 from opsloom.llm.queries import query
 
@@ -26,3 +27,13 @@ def chat_format(spark, folder):
     rows = rows.union(spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id long, turn int, role string, text string"))
     records = rows.select("conv_id", F.to_json(F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), "text")).alias("record"))
     return chat.digests(chat.formatted(chat.canonical_turns(records)))
+
+
+@query("op8_bpe")
+def encode(spark, folder):
+    return bpe.encode_digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_best_fit_packing")
+def pack(spark, folder):
+    return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
