@@ -3,7 +3,7 @@
 Vectors are packed into blocks. Each block keeps one list per dimension, sorted by value. A query reads all lists of a
 block in step, each from the end that helps its score, and holds for every vector seen a lower and an upper bound of the
 score: what was read, plus the worst or the best that the unread part of a list can add. Reading stops when no vector
-outside the k best lower bounds can still qualify; the scores of those that may are then resolved. The k best of all
+outside a small set can still qualify; the scores of that set are then resolved. The k best of all
 blocks are merged by rank.
 """
 import numpy as np
@@ -14,8 +14,6 @@ from opsloom.llm.common import tasks
 
 BLOCK = 4096
 QUERY_BLOCK = 512
-FIRST_DEPTH = 256
-EXACT = 1 << 53
 
 
 def quantised(vectors: DataFrame, key="vec_id", column="embedding", scale=256) -> DataFrame:
@@ -63,23 +61,23 @@ class Block:
         lists = np.where(up[:, None], self.order[dims, ::-1], self.order[dims])
         gains = np.where(up[:, None], self.values[dims, ::-1], self.values[dims]) * weight[:, None]
         worst = gains[:, -1] if len(dims) else np.zeros(0)
-        read, unread_low = np.zeros(n), np.full(n, worst.sum())
-        seen = np.zeros((n, len(dims)), np.float32)
-        depth, step, floor = 0, min(n, FIRST_DEPTH), -np.inf
+        read, seen = np.zeros(n), np.zeros((n, len(dims)), np.float32)
+        rest = np.flatnonzero(allowed)
+        depth, step = 0, max(64, n // 16)
         while len(dims) and depth < n:
             part = slice(depth, min(n, depth + step))
-            at = lists[:, part].ravel()
-            read += np.bincount(at, gains[:, part].ravel(), n)
-            unread_low -= np.bincount(at, np.repeat(worst, part.stop - part.start), n)
-            seen[at, np.repeat(np.arange(len(dims)), part.stop - part.start)] = 1
+            at = lists[:, part]
+            read += np.bincount(at.ravel(), gains[:, part].ravel(), n)
+            seen[at, np.arange(len(dims))[:, None]] = 1
             depth, step = part.stop, step * 2
             frontier = gains[:, depth - 1]
-            upper = read + frontier.sum() - seen @ frontier
-            lower = read + unread_low
+            known = seen @ np.stack([frontier, worst], 1).astype(np.float32)
+            slack = 0.5 + 1e-5 * (np.abs(frontier).sum() + np.abs(worst).sum())
+            upper, lower = read + (frontier.sum() - known[:, 0]), read + (worst.sum() - known[:, 1])
             floor = np.partition(lower[allowed], -k)[-k]
-            if (allowed & (upper >= floor - 0.5)).sum() <= 4 * k:
+            rest = np.flatnonzero(allowed & (upper >= floor - 2 * slack))
+            if len(rest) <= max(4 * k, n // 8):
                 break
-        rest = np.flatnonzero(allowed & (upper >= floor - 0.5)) if len(dims) else np.flatnonzero(allowed)
         score = self.vectors[rest] @ query
         best = np.lexsort((self.ids[rest], -score))[:k]
         return [(int(score[i]), int(self.ids[rest[i]])) for i in best]
