@@ -2,7 +2,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from opsloom.llm import bpe, chat, packing
+from opsloom.llm import bpe, chat, packing, toxicity
 from opsloom.llm.common import table, text_of
 from opsloom.llm.queries import query
 
@@ -37,3 +37,8 @@ def encode(spark, folder):
 @query("op9_best_fit_packing")
 def pack(spark, folder):
     return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op1_toxicity")
+def toxic(spark, folder):
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("text_hash")
