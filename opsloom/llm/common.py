@@ -51,3 +51,12 @@ def kept_rows(docs: DataFrame, keep: DataFrame) -> DataFrame:
     if marked.groupBy("doc_id", "_hash_").count().where("count > 1").limit(1).count():
         out = out.dropDuplicates(["doc_id", "_hash_"])
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def kept_rows_by(docs: DataFrame, judged: DataFrame, condition: str) -> DataFrame:
+    """Rows of docs whose (doc_id, XXH64 of the text) are not among the judged rows (doc_id, text_hash) that fail the
+    condition. The verdict depends on the text alone, so rows that repeat an id and a text share it."""
+    gone = judged.where(f"NOT ({condition})").select(F.col("doc_id").alias("_id_"), F.col("text_hash").alias("_h_"))
+    marked = docs.withColumn("_hash_", F.xxhash64(text_of()))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id_")) & (F.col("_hash_") == F.col("_h_"))
+    return marked.join(gone, same, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

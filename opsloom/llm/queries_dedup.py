@@ -1,7 +1,7 @@
 """Queries on whole documents: exact and near copies, repeated passages."""
 from pyspark.sql import functions as F
 
-from opsloom.llm import exact_dedup as exact, simhash
+from opsloom.llm import exact_dedup as exact, repeats, simhash
 from opsloom.llm.common import table
 from opsloom.llm.queries import query
 
@@ -21,3 +21,8 @@ def exact_copies(spark, folder):
 def near_copies(spark, folder):
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op10_repeated_passages")
+def repeated_passages(spark, folder):
+    return repeats.repeats(table(spark, folder, "documents"))

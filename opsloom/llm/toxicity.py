@@ -33,7 +33,8 @@ LOOKALIKES = {
     "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h", "€": "e", "£": "l",
 }
 ALPHABET = " abcdefghijklmnopqrstuvwxyzßàáâäæçèéêëìíîïñòóôöœùúûüÿ"
-SUBSTITUTE, DROP, SHRINK, KEEP_SIGN, KEEP_SPACE = -1.0, -5.0, -0.5, -7.0, -2.5
+SUBSTITUTE, DROP, DROP_DIGIT, SHRINK, KEEP_SIGN, KEEP_SPACE = -1.0, -5.0, -9.0, -0.5, -9.0, -2.5
+BELIEF = 3.0
 LETTER = "a-zß-öø-ÿœ"
 SIGN = re.escape("".join(LOOKALIKES))
 WORD = re.compile(f"[{LETTER}0-9]+")
@@ -96,13 +97,13 @@ class CharModel:
             elif c in LOOKALIKES:
                 once = [(x, SUBSTITUTE + SHRINK * 3 * (n > 1)) for x in LOOKALIKES[c]]
                 twice = [(x + x, 2 * SUBSTITUTE) for x in LOOKALIKES[c]] if n > 1 else []
-                out.append([*once, *twice, ("", DROP), (" ", KEEP_SIGN)])
+                out.append([*once, *twice, ("", DROP_DIGIT if c.isdigit() else DROP), (" ", KEEP_SIGN)])
             elif c not in self.number:
                 out.append([("", DROP)])
             elif n == 1:
                 out.append([(c, 0.0)])
             elif n == 2:
-                out.append([(c + c, 0.0), (c, DROP)])
+                out.append([(c + c, 0.0), (c, DROP_DIGIT)])
             else:
                 out.append([(c, SHRINK), (c + c, SHRINK)])
         return out
@@ -133,14 +134,13 @@ class CharModel:
         return MARKED.sub(lambda m: self.restore(m[0]), text.lower())
 
 
+def features_of(word: str):
+    """A word's beginnings, from the shortest, and the word."""
+    return [word[:n] + "^" for n in range(4, min(len(word), 10))] + [word]
+
+
 def features(words):
-    """Words and their beginnings."""
-    out = set()
-    for w in words:
-        out.add(w)
-        for n in range(4, min(len(w), 10)):
-            out.add(w[:n] + "^")
-    return out
+    return {f for w in words for f in features_of(w)}
 
 
 def sketch(text: str):
@@ -166,16 +166,27 @@ def copies(sketches) -> list:
 
 
 def fitted(x: np.ndarray, y: np.ndarray):
-    """(slope, intercept) of a logistic curve, by Newton steps with a light prior."""
-    a, b = 1.0, math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    """Coefficients of a logistic curve (the last is the intercept), by Newton steps with a light prior."""
+    x = np.column_stack([x, np.ones(len(x))])
+    w = np.zeros(x.shape[1])
+    w[-1] = math.log((y.sum() + 1) / (len(y) - y.sum() + 1))
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g = np.array([((y - p) * x).sum() - 0.1 * (a - 1), (y - p).sum()])
-        q = p * (1 - p)
-        h = np.array([[(q * x * x).sum() + 0.1, (q * x).sum()], [(q * x).sum(), q.sum() + 1e-6]])
-        step = np.clip(np.linalg.solve(h, g), -2, 2)
-        a, b = a + step[0], b + step[1]
-    return max(a, 0.05), b
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w))
+        w = w + np.clip(np.linalg.solve(h, x.T @ (y - p) - 0.1 * w), -2, 2)
+    return w.tolist()
+
+
+def odds_by_prefix(toxic: dict, clean: dict, n_toxic: int, n_clean: int):
+    """Log-odds of features; each is drawn, by BELIEF observations, to what its longest shorter beginning says."""
+    base = n_toxic / (n_toxic + n_clean)
+    share = {}
+    for f in sorted(toxic, key=lambda f: len(f) if f.endswith("^") else len(f) + 100):
+        stem = f.rstrip("^")
+        parent = next((share[p] for n in range(len(stem) - (f.endswith("^")), 3, -1) if (p := stem[:n] + "^") in share and p != f), base)
+        t, c = toxic[f] + BELIEF * parent, clean[f] + BELIEF * (1 - parent)
+        share[f] = t / (t + c)
+    return {f: math.log(s / (1 - s)) - math.log(base / (1 - base)) for f, s in share.items()}
 
 
 def held_out(doc_id):
@@ -200,7 +211,7 @@ def char_counts(docs: DataFrame) -> np.ndarray:
 
 
 def learn(docs: DataFrame, labels: DataFrame, model, sample: int = SAMPLE):
-    """(weights, (slope, intercept)): from at most `sample` labelled documents, the ones whose id hashes lowest.
+    """(weights, curve): from at most `sample` labelled documents, the ones whose id hashes lowest.
 
     Labels of held-out documents are not read. An id with several labels counts as toxic if any says so.
     """
@@ -230,7 +241,7 @@ def learn(docs: DataFrame, labels: DataFrame, model, sample: int = SAMPLE):
     total = by_feature.where("feature = ''").first()
     n_t, n_c = (total.t, total.c) if total else (0, 0)
     if not n_t or not n_c:
-        return {}, (1.0, -3.0)
+        return {}, [0.0, 0.0, -3.0]
     top = by_feature.where((F.col("feature") != "") & (F.col("t") >= LEAST) & ((F.col("t") + 0.5) / (n_t + 1) > 5 * (F.col("c") + 0.5) / (n_c + 1)))
     clean = {r.feature: r.c for r in top.orderBy(F.desc("t"), "feature").limit(CANDIDATES).collect()}
 
@@ -247,32 +258,32 @@ def learn(docs: DataFrame, labels: DataFrame, model, sample: int = SAMPLE):
         for f in r.found:
             by_group.setdefault(f, set()).add(g)
     n_g = len(set(group))
-    weights = {f: math.log((len(g) + 0.5) / (n_g + 1)) - math.log((clean[f] + 0.5) / (n_c + 1))
-               for f, g in by_group.items() if len(g) >= max(LEAST, 0.004 * n_g)}
-    weights = {f: w for f, w in weights.items() if w > 1.5}
+    usual = {f: len(g) for f, g in by_group.items() if len(g) >= max(LEAST, 0.004 * n_g)}
+    weights = {f: w for f, w in odds_by_prefix(usual, clean, n_g, n_c).items() if w > 1.5}
 
     def measured(batches):
         kept = {}
         for batch in slices(batches, 64):
-            yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int64()), pa.array(
-                [evidence(t, model.value, weights, kept) for t in batch.column("text").to_pylist()])], names=["toxic", "x"])
+            made = [evidence(t, model.value, weights, kept) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int64()), pa.array([e for e, _ in made]), pa.array([n for _, n in made])], names=["toxic", "x", "size"])
 
-    known = rows.mapInArrow(measured, "toxic long, x double").toPandas()
-    return weights, fitted(known.x.to_numpy(), (known.toxic == 1).to_numpy().astype(float))
+    known = rows.mapInArrow(measured, "toxic long, x double, size double").toPandas()
+    return weights, fitted(known[["x", "size"]].to_numpy(), (known.toxic == 1).to_numpy().astype(float))
 
 
-def evidence(text: str, model: CharModel, weights: dict, kept: dict) -> float:
-    """The three strongest pieces of evidence of different words, in log-odds, the second and third at a discount."""
-    best = []
-    for w in model.words(text):
+def evidence(text: str, model: CharModel, weights: dict, kept: dict):
+    """(the three strongest pieces of evidence of different words, in log-odds, the second and third at a discount;
+    logarithm of the number of different words)."""
+    best, words = [], model.words(text)
+    for w in words:
         s = kept.get(w)
         if s is None:
             if len(kept) > 400_000:
                 kept.clear()
-            s = kept[w] = max((weights.get(f, 0.0) for f in features((w,))), default=0.0)
+            s = kept[w] = next((weights[f] for f in reversed(features_of(w)) if f in weights), 0.0)
         if s:
             best.append(s)
-    return sum(x / 2 ** i for i, x in enumerate(sorted(best, reverse=True)[:3]))
+    return float(sum(x / 2 ** i for i, x in enumerate(sorted(best, reverse=True)[:3]))), math.log1p(len(words))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -282,12 +293,13 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Repeated rows give repeated rows; labels of absent documents are ignored.
     """
     model = docs.sparkSession.sparkContext.broadcast(CharModel(char_counts(docs)))
-    weights, (slope, bias) = learn(docs, labels, model)
+    weights, curve = learn(docs, labels, model)
 
     def score(batches):
         kept = {}
         for batch in slices(batches, 256):
-            odds = slope * np.array([evidence(t, model.value, weights, kept) for t in batch.column("text").to_pylist()]) + bias
+            made = np.array([(*evidence(t, model.value, weights, kept), 1.0) for t in batch.column("text").to_pylist()])
+            odds = np.clip(made @ np.array(curve), -30, 30)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(1 / (1 + np.exp(-odds)))],
                                              names=["doc_id", "text_hash", "score"])
 
