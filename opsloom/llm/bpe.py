@@ -9,16 +9,17 @@ import hashlib
 import heapq
 import json
 import re
+import struct
 import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from opsloom.llm.common import slices, text_of
+from opsloom.llm.common import Kept, slices, text_of
 
 SHORT = 256
-KEPT_WORDS = 300_000
 NO_RANK = 1 << 60
 # Code points of Latin-1 letters, numbers and white space, for texts that hold no others.
 LATIN_L, LATIN_N, LATIN_S = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", "\\x09-\\x0d \\x85\\xa0"
@@ -56,7 +57,7 @@ class WordBpe:
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.latin = re.compile(WORDS.format(L=LATIN_L, N=LATIN_N, S=LATIN_S))
         self.any = regex.compile(WORDS.format(L="\\p{L}", N="\\p{N}", S=UNICODE_S))
-        self.kept = {}
+        self.kept = Kept(self.word)
 
     def merge(self, word: bytes):
         """Ids of one word."""
@@ -109,11 +110,8 @@ class WordBpe:
     def word(self, word: str):
         """(ids as little-endian unsigned 32-bit integers, decoded tokens) of one word."""
         ids = self.merge(word.encode())
-        if len(self.kept) >= KEPT_WORDS:
-            self.kept.clear()
-        packed = b"".join(i.to_bytes(4, "little") for i in ids)
-        out = self.kept[word] = (packed, self.decode(packed))
-        return out
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        return packed, self.decode(packed)
 
     def words(self, text: str):
         """Lower-cased, composed text cut into words; control strings of the vocabulary stay whole."""
@@ -140,8 +138,7 @@ class WordBpe:
                         packed.append(ids)
                         said.append(decoded)
             return b"".join(packed), " ".join(said)
-        kept, word = self.kept, self.word
-        found = [kept.get(w) or word(w) for w in self.words(text)]
+        found = list(map(self.kept.__getitem__, self.words(text)))
         return b"".join([f[0] for f in found]), " ".join([f[1] for f in found])
 
     def decode(self, packed: bytes):
@@ -149,6 +146,12 @@ class WordBpe:
         return " ".join(self.tokens[i] for i in memoryview(packed).cast("I"))
 
 
+@lru_cache(maxsize=4)
+def word_bpe(path: str) -> WordBpe:
+    """One encoder per worker process, whatever the number of tasks."""
+    return WordBpe(path)
+
+
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     """Encode and decode whole texts: doc_id, n_tokens, ids_sha256, decoded_sha256, one row per row of docs.
 
@@ -157,7 +160,7 @@ def encode_digests(docs: DataFrame, path: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def run(batches):
-        bpe = WordBpe(path)
+        bpe = word_bpe(path)
         for batch in slices(batches, 256):
             rows = [bpe.encode_decode(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([

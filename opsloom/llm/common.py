@@ -22,6 +22,25 @@ def slices(batches, size=512):
             yield batch.slice(start, size)
 
 
+class Kept(dict):
+    """Results of a function by argument, for arguments that repeat. When it is full, what was used since the last time
+    stays at hand; the rest is computed again if it comes back, so memory is bounded and results never change."""
+
+    def __init__(self, function, size=150_000):
+        super().__init__()
+        self.function, self.size, self.older = function, size, {}
+
+    def __missing__(self, key):
+        found = self.older.get(key)
+        if found is None:
+            found = self.function(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 def tasks(df: DataFrame) -> int:
     """Partitions for a shuffle by explicit key: the session's setting, which follows the data's size."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

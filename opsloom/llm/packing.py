@@ -7,56 +7,47 @@ as many documents as the run of gaps has go there in order, the next ones to the
 sequences. The sweep sees counts by value only, at most twice the capacity of them, so it is a small plan; rows are
 matched to it by value and rank on the cluster. Then the gaps are updated and the next band follows.
 """
-import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from opsloom.llm.bpe import LATIN_L, LATIN_N, LATIN_S, UNICODE_S
+from opsloom.llm.bpe import byte_symbols
 from opsloom.llm.common import settled, slices, text_of
-from opsloom.operators.ordered import positions
 
 CAPACITY = 2048
-KEPT_WORDS = 300_000
-# Fixed value: the split of the byte-level vocabulary; L, N and S stand for letters, numbers and white space.
-PIECES = "'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
-LATIN = re.compile(PIECES.format(L=LATIN_L, N=LATIN_N, S=LATIN_S))
-ANY = regex.compile(PIECES.format(L="\\p{L}", N="\\p{N}", S=UNICODE_S))
+# Fixed value: the split of the byte-level vocabulary.
+PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class ByteBpe:
-    """Ids of a byte-level tokenizer file. Words repeat, so the ids of a word are kept in a bounded table."""
+    """Ids of a byte-level tokenizer file, in which ids stand in the order of merges. Texts that hold a control string of the
+    vocabulary are left to the tokenizer itself, the others go to a faster encoder over the same vocabulary."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.kept = {}
+        byte_of = {s: b for b, s in enumerate(byte_symbols())}
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
+        self.encoding = tiktoken.Encoding("bytes", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
 
-    def ids(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
+    def ids(self, text: str) -> np.ndarray:
         if any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        try:
-            text.encode("latin-1")
-            words = LATIN.findall(text)
-        except UnicodeEncodeError:
-            words = ANY.findall(text)
-        try:
-            return b"".join(map(self.kept.__getitem__, words))
-        except KeyError:
-            if len(self.kept) > KEPT_WORDS:
-                self.kept.clear()
-            new = [w for w in dict.fromkeys(words) if w not in self.kept]
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                self.kept[w] = np.array(e.ids, "<u4").tobytes()
-            return b"".join(map(self.kept.__getitem__, words))
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+
+
+@lru_cache(maxsize=4)
+def byte_bpe(path: str) -> ByteBpe:
+    """One encoder per worker process, whatever the number of tasks."""
+    return ByteBpe(path)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = 0) -> DataFrame:
@@ -65,11 +56,11 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = 0) -
     schema = pa.schema([(n, pa.int32() if n == "piece" else pa.int64()) for n in ("doc_id", "piece", "start", "length", "ids_crc32")])
 
     def run(batches):
-        bpe, last = ByteBpe(path), int(end).to_bytes(4, "little")
+        bpe, last = byte_bpe(path), int(end).to_bytes(4, "little")
         for batch in slices(batches, 256):
             out = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = bpe.ids(text) + last
+                ids = bpe.ids(text).tobytes() + last
                 total = len(ids) // 4
                 stop = (total - 1) % capacity + 1
                 start = 0
@@ -84,10 +75,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = 0) -
 
 def bands(capacity: int):
     """(low, high] ranges of lengths, longest first."""
-    edges = [capacity]
-    while edges[-1] > 64:
-        edges.append(edges[-1] // 2)
-    edges.append(0)
+    edges = sorted({0, capacity // 8, capacity // 2, capacity}, reverse=True)
     return list(zip(edges[1:], edges))
 
 
@@ -135,9 +123,41 @@ def sweep(documents: dict, gaps: dict, capacity: int):
     return plan
 
 
-def counts(df: DataFrame, value: str) -> dict:
-    """Rows by value; the values lie between 1 and the capacity."""
-    return {r[0]: r[1] for r in df.groupBy(value).count().collect()}
+class Ranked:
+    """Rows range-sorted by (value, key). `runs` has a row (part, value, first row, count, rank of the first) for each value in each
+    range; as the ranges are sorted, those are at most as many as ranges and values together."""
+
+    def __init__(self, df: DataFrame, value: str, key: str):
+        place = F.monotonically_increasing_id()
+        self.value = value
+        self.rows = settled(df.repartitionByRange(value, key).sortWithinPartitions(value, key).withColumn("_place", place).select(
+            "*", F.shiftright("_place", 33).alias("_part"), F.col("_place").bitwiseAND((1 << 33) - 1).alias("_row")).drop("_place"))
+        seen = self.rows.groupBy(value, "_part").agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("first")).collect()
+        self.counts, self.runs = {}, []
+        for r in sorted(seen, key=lambda r: (r[value], r._part)):
+            self.runs.append((r._part, r[value], r.first, r.n, self.counts.get(r[value], 0)))
+            self.counts[r[value]] = self.counts.get(r[value], 0) + r.n
+
+    def joined(self, pieces: list, names: list) -> DataFrame:
+        """The rows of the pieces (part, value, first row, count, ...), with `_at`, the row's number in its piece, and the named values."""
+        frame = pd.DataFrame(pieces, columns=["_part", self.value, "_first", "_count", *names], dtype="int64")
+        near = F.broadcast(self.rows.sparkSession.createDataFrame(frame))
+        return self.rows.join(near, ["_part", self.value]).withColumn("_at", F.col("_row") - F.col("_first")).where("_at >= 0 AND _at < _count")
+
+    def ranked(self) -> DataFrame:
+        return self.joined([(*r[:4], r[4]) for r in self.runs], ["_rank"]).withColumn("rank", F.col("_rank") + F.col("_at"))
+
+    def planned(self, plan: list) -> DataFrame:
+        """The rows that a plan speaks of, with kind, key, rank (of the target) and used."""
+        pieces, by_value = [], {}
+        for length, first, many, kind, key, target, used in plan:
+            by_value.setdefault(length, []).append((first, many, kind, key, target, used))
+        for part, value, row, n, rank in self.runs:
+            for first, many, kind, key, target, used in by_value.get(value, ()):
+                low, high = max(first, rank), min(first + many, rank + n)
+                if low < high:
+                    pieces.append((part, value, row + low - rank, high - low, kind, key, target + low - first, used))
+        return self.joined(pieces, ["kind", "key", "_target", "used"]).withColumn("rank", F.col("_target") + F.col("_at"))
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -147,35 +167,25 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     go by item. No items: no rows.
     """
     whole = items.where(F.col("length") >= capacity).select("item", (-1 - F.col("item")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    ranked = settled(positions(items.where(F.col("length") < capacity).select("item", "length"), ["length"], ["item"]))
-    by_length = counts(ranked, "length")
-    placed, gaps = [whole], None
+    documents = Ranked(items.where(F.col("length") < capacity).select("item", "length"), "length", "item")
+    placed, gaps, free = [whole], None, F.lit(capacity).cast("long")
     for low, high in bands(capacity):
-        documents = {v: n for v, n in by_length.items() if low < v <= high}
-        if not documents:
+        band = {v: n for v, n in documents.counts.items() if low < v <= high}
+        if not band:
             continue
-        lines = None if gaps is None else settled(positions(gaps, ["free"], ["sequence_id"], "rank"))
-        plan = sweep(documents, {} if lines is None else counts(lines, "free"), capacity)
-        rows = pd.DataFrame(plan, columns=["length", "first", "many", "kind", "key", "target", "used"], dtype="int64")
-        goes = ranked.join(F.broadcast(ranked.sparkSession.createDataFrame(rows)), "length").where(
-            (F.col("pos") >= F.col("first")) & (F.col("pos") < F.col("first") + F.col("many"))).select(
-            "item", "length", "kind", "key", (F.col("target") + F.col("pos") - F.col("first")).alias("rank"), "used")
-        opened = goes.where("kind = 1").select(
+        lines = None if gaps is None else Ranked(gaps, "free", "sequence_id")
+        goes = documents.planned(sweep(band, {} if lines is None else lines.counts, capacity))
+        matched = goes.where("kind = 1").select(
             "item", "length", F.expr("shiftleft(key, 40) + rank").alias("sequence_id"), F.col("used").alias("offset"))
-        if lines is None:
-            matched = settled(opened)
-        else:
-            filled = goes.where("kind = 0").join(lines.withColumnRenamed("free", "key"), ["key", "rank"]).select(
-                "item", "length", "sequence_id", (capacity - F.col("key") + F.col("used")).alias("offset"))
-            matched = settled(opened.union(filled))
+        if lines is not None:
+            matched = matched.union(goes.where("kind = 0").join(lines.ranked().select(F.col("free").alias("key"), "rank", "sequence_id"), ["key", "rank"]).select(
+                "item", "length", "sequence_id", (capacity - F.col("key") + F.col("used")).alias("offset")))
+        matched = settled(matched)
         placed.append(matched.drop("length"))
-        taken = matched.groupBy("sequence_id").agg(F.sum("length").alias("free")).select("sequence_id", (-F.col("free")).alias("free"))
-        if lines is None:
-            gaps = taken.withColumn("free", F.col("free") + capacity)
-        else:
-            new = matched.where("offset = 0").select("sequence_id", F.lit(capacity).cast("long").alias("free"))
-            gaps = lines.select("sequence_id", "free").union(new).union(taken).groupBy("sequence_id").agg(F.sum("free").alias("free"))
-        gaps = gaps.where("free > 0")
+        change = matched.select("sequence_id", (F.when(F.col("offset") == 0, free).otherwise(0) - F.col("length")).alias("free"))
+        if lines is not None:
+            change = change.union(lines.rows.select("sequence_id", "free"))
+        gaps = change.groupBy("sequence_id").agg(F.sum("free").alias("free")).where("free > 0")
     out = placed[0]
     for more in placed[1:]:
         out = out.union(more)
