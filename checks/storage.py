@@ -20,19 +20,15 @@ def scratch(t, name):
     return f"{checkpoint_dir(t.spark)}/opsloom-{name}-{uuid.uuid4().hex}"
 
 
-EVENT_COLS = ["event_id", "user_id", "event_type", "value"]
-
-
-@query("S01_read_table", oracle("SELECT event_id, user_id, event_type, value FROM events WHERE event_type = 'click'", f="value"))
+@query("S01_read_table", oracle("SELECT * FROM events", f="value", t="ts"))
 def s01(t):
-    df = tables.read_table(t.spark, f"{t.folder}/events.parquet")
-    return df.where("event_type = 'click'").select(*EVENT_COLS)
+    return tables.read_table(t.spark, f"{t.folder}/events.parquet")
 
 
-@query("S02_read_folder", oracle("SELECT event_id, user_id, event_type, value FROM events", f="value"))
+@query("S02_read_folder", oracle("SELECT * FROM events", f="value", t="ts"))
 def s02(t):
     folder = scratch(t, "folder")
-    sinks.write_overwrite(t.raw("events").repartition(5).select(*EVENT_COLS), folder)
+    sinks.write_overwrite(t.raw("events").repartition(5), folder)
     return tables.read_folder(t.spark, folder)
 
 
@@ -160,15 +156,24 @@ def s13(t):
     return tables.retained(t.spark.read.parquet(path), "event_date", EVENTS_AS_OF, 10)
 
 
+@query("S13_expire_partitions", oracle("SELECT event_id, CAST(ts AS DATE) AS event_date FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-21'", d="event_date"))
+def s13e(t):
+    """The folders of older days are removed; what is left is read without a filter."""
+    path = scratch(t, "expiry")
+    sinks.write_table(t.raw("events").select("event_id", F.to_date("ts").alias("event_date")), path, "event_date")
+    sinks.expire_partitions(t.spark, path, "event_date", EVENTS_AS_OF, 10)
+    return t.spark.read.parquet(path)
+
+
 @query("S14_append_new_columns", oracle(
-    """SELECT event_id, value, CAST(NULL AS VARCHAR) AS event_type FROM events
-       UNION ALL SELECT event_id, value, event_type FROM events""", f="value"))
+    """SELECT event_id, user_id, ts, value, props, CAST(NULL AS VARCHAR) AS event_type FROM events
+       UNION ALL SELECT event_id, user_id, ts, value, props, event_type FROM events""", f="value", t="ts"))
 def s14(t):
     path = scratch(t, "evolve")
     events = t.raw("events")
-    sinks.append_evolving(events.select("event_id", "value"), path)
-    sinks.append_evolving(events.select("event_id", "value", "event_type"), path)
-    return sinks.read_evolved(t.spark, path).select("event_id", "value", "event_type")
+    sinks.append_evolving(events.drop("event_type"), path)
+    sinks.append_evolving(events, path)
+    return sinks.read_evolved(t.spark, path).select("event_id", "user_id", "ts", "value", "props", "event_type")
 
 
 @query("F14_surrogate_key", oracle(
@@ -281,11 +286,32 @@ def written_messages(t):
        t="event_ts", f="readiness_score"))
 def st01(t):
     source, sink, state = written_messages(t), scratch(t, "sink"), scratch(t, "state")
-    # One batch holds all files, so a long watermark keeps every repeated id.
     ingest.ingest(t.spark, source, sink, state, late="60 days").awaitTermination()
     return tables.read_table(t.spark, sink).select(*TELEMETRY.split(", "))
 
 
+@query("ST06_ingest_loses_nothing", oracle(
+    f"""SELECT 'kept or late' AS kind, event_id AS what, CAST(1 AS BIGINT) AS n FROM messages WHERE reason IS NULL
+        UNION ALL SELECT 'rejected', reason, CAST(sum(copies) AS BIGINT) FROM messages WHERE reason IS NOT NULL GROUP BY 2
+        UNION ALL SELECT 'input', '', CAST(sum(copies) AS BIGINT) FROM messages""", "fleet_telemetry", MESSAGES))
+def st06(t):
+    """Three batches or more with the default watermark: every valid id is kept or late, all rejects are there with their reason, and
+    kept, late, rejected and repeated messages add up to the input."""
+    source, sink, state = written_messages(t), scratch(t, "sink"), scratch(t, "state")
+    ingest.ingest(t.spark, source, sink, state, max_files=2).awaitTermination()
+    kept, late, rejected = (tables.read_table(t.spark, sink + x) for x in ("", "_late", "_rejected"))
+    one = F.lit(1).cast("long").alias("n")
+    seen = kept.select("event_id").union(late.select("event_id"))
+    valid = ingest.valid_messages(t.spark.read.text(source))
+    repeats = valid.groupBy("event_id").count().join(seen.groupBy("event_id").agg(F.count(F.lit(1)).alias("seen")), "event_id")
+    parts = [kept.agg(F.count(F.lit(1)).alias("n")), late.agg(F.count(F.lit(1)).alias("n")), rejected.agg(F.count(F.lit(1)).alias("n")),
+             repeats.agg(F.coalesce(F.sum(F.col("count") - F.col("seen")), F.lit(0)).alias("n"))]
+    total = parts[0].union(parts[1]).union(parts[2]).union(parts[3]).agg(F.sum("n").alias("n"))
+    return (seen.distinct().select(F.lit("kept or late").alias("kind"), F.col("event_id").alias("what"), one)
+            .union(rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).select(F.lit("rejected"), "reason", "n"))
+            .union(total.select(F.lit("input"), F.lit(""), "n")))
+
+
 @query("ST05_streaming_hourly_scores", oracle(
     """SELECT cluster_name, environment, event_hour, avg((node_health_ratio + task_running_ratio) / 2 * 100) AS availability_score,
               avg(readiness_score) AS avg_readiness_score, count(*) AS event_count

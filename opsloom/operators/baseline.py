@@ -41,9 +41,8 @@ def workload_baseline(jobs: DataFrame, scan_date, days=30, min_n=MIN_BASELINE) -
 def workload_baseline_by_day(jobs: DataFrame, days=30, min_n=MIN_BASELINE) -> DataFrame:
     """`workload_baseline` for every execution date at once.
 
-    Jobs are reduced to one row of moments per type and day. The moments of the `days`
-    days before each date are merged in a range frame over those rows, with the means
-    taken around a per-type centre against cancellation.
+    Jobs are reduced to one row of (count, mean, sum of squared deviations) per type and day. The rows of the `days`
+    days before each date, at most one a day, are merged pairwise, so nothing cancels.
     """
     # Days without any first attempt keep a row: they need a baseline as well.
     counted = F.col("status").isin("SUCCESS", "FAILURE") & (F.col("retry_attempt") == 0)
@@ -57,21 +56,23 @@ def workload_baseline_by_day(jobs: DataFrame, days=30, min_n=MIN_BASELINE) -> Da
     )
     by_type = Window.partitionBy(TYPE)
     frame = by_type.orderBy(F.unix_date("execution_date")).rangeBetween(-days, -1)
-    shift = F.coalesce(F.col("_mean") - F.col("_centre"), F.lit(0.0))
-    sums = (
-        daily.withColumn("_centre", F.coalesce(F.avg("_mean").over(by_type), F.lit(0.0)))
-        .withColumn("_s", F.col("_n") * shift)
-        .withColumn("_ss", F.col("_n") * (F.coalesce("_var", F.lit(0.0)) + shift * shift))
-        .select(TYPE, "execution_date", "_centre",
-                *[F.sum(c).over(frame).alias(c) for c in ("_rows", "_n", "_s", "_ss", "_fails")])
-    )
-    offset = F.try_divide(F.col("_s"), F.col("_n"))
-    variance = F.greatest(F.try_divide(F.col("_ss"), F.col("_n")) - offset * offset, F.lit(0.0))
-    noise = F.lit(1e-12) * F.greatest(F.col("_centre") * F.col("_centre"), F.lit(1.0))
-    return sums.where(F.col("_rows") >= min_n).select(
+    part = F.struct(F.col("_n").cast("double").alias("n"), F.coalesce("_mean", F.lit(0.0)).alias("mean"),
+                    (F.col("_n") * F.coalesce("_var", F.lit(0.0))).alias("m2"))
+
+    def merge(x, y):
+        n, delta = x["n"] + y["n"], y["mean"] - x["mean"]
+        share = F.coalesce(F.try_divide(y["n"], n), F.lit(0.0))
+        return F.struct(n.alias("n"), (x["mean"] + delta * share).alias("mean"), (x["m2"] + y["m2"] + delta * delta * x["n"] * share).alias("m2"))
+
+    none = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    merged = daily.select(
+        TYPE, "execution_date", *[F.sum(c).over(frame).alias(c) for c in ("_rows", "_fails")],
+        F.aggregate(F.collect_list(part).over(frame), none, merge).alias("_m"))
+    known = F.col("_m.n") > 0
+    return merged.where(F.col("_rows") >= min_n).select(
         TYPE, "execution_date",
-        (F.col("_centre") + offset).alias("baseline_mean_duration_s"),
-        F.when(variance > noise, F.sqrt(variance)).when(F.col("_n") > 0, 0.0).alias("baseline_stddev_duration_s"),
+        F.when(known, F.col("_m.mean")).alias("baseline_mean_duration_s"),
+        F.when(known, F.sqrt(F.col("_m.m2") / F.col("_m.n"))).alias("baseline_stddev_duration_s"),
         safe_divide("_fails", "_rows").alias("baseline_failure_rate"),
         F.col("_rows").alias("baseline_sample_count"),
     )

@@ -4,6 +4,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from opsloom.functions import safe_divide, stable_round
+from opsloom.operators.quality import combined, distinct_count
 
 MAX_AGE_HOURS = 25
 
@@ -27,7 +28,7 @@ class ColumnSpec:
 
 def validate(df: DataFrame, schema: list[ColumnSpec]) -> DataFrame:
     """One message per violation; no rows when the table is valid."""
-    static, aggregates, messages = [], [], []
+    static, aggregates, messages, parts = [], [], [], []
     for s in schema:
         if s.name not in df.columns:
             static.append(f"Missing column: {s.name}")
@@ -42,13 +43,13 @@ def validate(df: DataFrame, schema: list[ColumnSpec]) -> DataFrame:
                 F.lit(f"Column '{s.name}' is not nullable but has "), n.cast("string"), F.lit(" nulls."))))
         if s.unique:
             i = len(aggregates)
-            distinct = F.count_distinct(c) + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))
-            aggregates.append((F.count(F.lit(1)) - distinct).alias(f"_m{i}"))
-            n = F.col(f"_m{i}")
+            parts.append(distinct_count(df, s.name, f"_d{i}"))
+            aggregates.append((F.count(F.lit(1)) - F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))).alias(f"_m{i}"))
+            n = F.col(f"_m{i}") - F.col(f"_d{i}")
             messages.append(F.when(n > 0, F.concat(
                 F.lit(f"Column '{s.name}' must be unique but has "), n.cast("string"), F.lit(" duplicates."))))
     every = F.array(*[F.lit(m) for m in static], *messages, F.lit(None).cast("string"))
-    found = df.agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
+    found = combined(df.agg(F.count(F.lit(1)).alias("_rows"), *aggregates), *parts)
     return found.select(F.explode(every).alias("message")).where(F.col("message").isNotNull())
 
 
@@ -59,7 +60,7 @@ def quality_score(df: DataFrame, schema: list[ColumnSpec], as_of, ts_column=None
     keys = [s.name for s in schema if s.unique]
     present = [k for k in keys if k in df.columns]
     aggregates = [F.count(F.lit(1)).alias("_rows"), nulls.alias("_nulls")]
-    aggregates += [F.count_distinct(F.col(k)).alias(f"_d{i}") for i, k in enumerate(present)]
+    parts = [distinct_count(df, k, f"_d{i}") for i, k in enumerate(present)]
     fresh = F.lit(True)
     if ts_column and ts_column in df.columns:
         aggregates.append(F.max(F.col(ts_column).cast("timestamp")).alias("_latest"))
@@ -75,7 +76,7 @@ def quality_score(df: DataFrame, schema: list[ColumnSpec], as_of, ts_column=None
         unique = F.lit(1.0)
     overall = 0.5 * F.col("completeness") + 0.3 * F.col("uniqueness") + 0.2 * F.col("freshness_ok").cast("double")
     return (
-        df.agg(*aggregates)
+        combined(df.agg(*aggregates), *parts)
         .select(complete.alias("completeness"), unique.alias("uniqueness"), fresh.alias("freshness_ok"))
         .withColumn("overall", stable_round(overall, 4))
         .withColumn("completeness", stable_round("completeness", 4))

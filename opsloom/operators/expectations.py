@@ -1,6 +1,7 @@
 """Declarative expectations about one table, evaluated in one aggregation."""
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from opsloom.operators.quality import combined, distinct_count
 from opsloom.params import ENVIRONMENTS, FLEET_EVENT_TYPES, SEVERITIES
 
 # The expectations on staged fleet events.
@@ -29,7 +30,7 @@ def _share(hits, of):
 def evaluate(df: DataFrame, expectations=STAGED_EVENTS) -> DataFrame:
     """(no, kind, column, observed, passed). Value expectations look at non-null values; `observed` is
     the share that meets the expectation, or the row count."""
-    measures, results = {"rows": F.count(F.lit(1))}, []
+    measures, results, distincts = {"rows": F.count(F.lit(1))}, [], {}
 
     def measure(name, column):
         measures[name] = column
@@ -51,7 +52,8 @@ def evaluate(df: DataFrame, expectations=STAGED_EVENTS) -> DataFrame:
                 observed = _share(known, rows)
                 passed = observed >= mostly
             elif kind in ("unique", "distinct_share"):
-                distinct = measure(f"distinct_{column}", F.count_distinct(c))
+                distincts[f"distinct_{column}"] = column
+                distinct = F.col(f"distinct_{column}")
                 observed = _share(distinct, known)
                 passed = observed >= (1.0 if kind == "unique" else e["min"])
             else:
@@ -70,4 +72,5 @@ def evaluate(df: DataFrame, expectations=STAGED_EVENTS) -> DataFrame:
         results.append(F.struct(
             F.lit(i + 1).alias("no"), F.lit(kind).alias("kind"), F.lit(column).cast("string").alias("column"),
             observed.alias("observed"), passed.alias("passed")))
-    return df.agg(*[c.alias(n) for n, c in measures.items()]).select(F.inline(F.array(*results)))
+    parts = [distinct_count(df, column, name) for name, column in distincts.items()]
+    return combined(df.agg(*[c.alias(n) for n, c in measures.items()]), *parts).select(F.inline(F.array(*results)))

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 from opsloom.session import settled
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how="left") -> DataFrame:
@@ -20,12 +21,14 @@ def lookup_join(left: DataFrame, small: DataFrame, keys, how="left", max_rows=BR
                 null_safe=False) -> DataFrame:
     """Join `left` with an aggregate that holds one row per key.
 
-    The aggregate is computed once and counted. Up to `max_rows` it is broadcast, so
+    The aggregate is computed once and measured. Up to `max_rows` rows and BROADCAST_BYTES bytes it is broadcast, so
     a key with a third of all rows on the left costs no shuffle. Beyond that the
     join is an ordinary shuffle join, whose hot partitions the adaptive
     skew handling splits.
     """
     small = settled(small)
-    if small.count() <= max_rows:
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in small.schema if f.dataType.typeName() in ("string", "binary")]
+    size = small.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(sum(texts, F.lit(16 * len(small.columns)))), F.lit(0)).alias("bytes")).first()
+    if size.n <= max_rows and size.bytes <= BROADCAST_BYTES:
         small = F.broadcast(small)
     return null_safe_join(left, small, keys, how) if null_safe else left.join(small, list(keys), how)

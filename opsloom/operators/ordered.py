@@ -145,6 +145,11 @@ def exponential_mean(df: DataFrame, keys, value: str, span: int, name="ewm_mean"
     def smooth(values):
         return pd.Series(values, dtype="float64").ewm(span=span, adjust=False).mean().to_numpy()
 
+    def merge(mean, gap, first):
+        """The mean after a gap of any length and one more value."""
+        w = (1.0 - alpha) ** (gap + 1)
+        return (w * mean + alpha * first) / (w + alpha)
+
     def reduce_block(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values(pos)[value].to_numpy(dtype="float64")
         seen = np.flatnonzero(~np.isnan(x))
@@ -177,9 +182,7 @@ def exponential_mean(df: DataFrame, keys, value: str, span: int, name="ewm_mean"
                 if math.isnan(mean):
                     mean = row.last
                 else:
-                    w = (1.0 - alpha) ** (gap + row.lead + 1)
-                    start = (w * mean + alpha * row.first) / (w + alpha)
-                    mean = row.last + row.keep * (start - row.first)
+                    mean = row.last + row.keep * (merge(mean, gap + row.lead, row.first) - row.first)
                 gap = row.trail
         return pdf[[*keys, "_block"]].assign(_mean_in=means, _gap_in=gaps)
 
@@ -192,12 +195,17 @@ def exponential_mean(df: DataFrame, keys, value: str, span: int, name="ewm_mean"
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(pos)
-        x = pdf[value].to_numpy(dtype="float64")
-        mean, gap = pdf["_mean_in"].iloc[0], int(min(pdf["_gap_in"].iloc[0], 100_000))
+        x = pdf[value].to_numpy(dtype="float64").copy()
+        mean, gap = pdf["_mean_in"].iloc[0], int(pdf["_gap_in"].iloc[0])
+        seen = np.flatnonzero(~np.isnan(x))
         if mean is None or math.isnan(mean):
             y = smooth(x)
+        elif len(seen) == 0:
+            y = np.full(len(x), mean)
         else:
-            y = smooth(np.concatenate([[mean], np.full(gap, np.nan), x]))[1 + gap:]
+            lead = seen[0]
+            x[lead] = merge(mean, gap + lead, x[lead])
+            y = np.concatenate([np.full(lead, mean), smooth(x[lead:])])
         return pdf[columns].assign(**{name: y})
 
     joined = lookup_join(work, carried, [*keys, "_block"], null_safe=True)

@@ -11,11 +11,26 @@ MAX_AGE_DAYS = 90
 MAX_DURATION_SECONDS = 172_800
 
 
+def combined(*parts: DataFrame) -> DataFrame:
+    """One-row results as one row with all their columns."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns]) if len(parts) > 1 else out
+
+
+def distinct_count(df: DataFrame, column: str, name: str) -> DataFrame:
+    """One row: the different non-null values of a column. Only a hash of texts is shuffled."""
+    c = F.col(f"`{column}`")
+    key = F.sha2(c, 256) if df.schema[column].dataType.typeName() == "string" else c
+    return df.select(key.alias("_k")).groupBy("_k").agg(F.lit(1).alias("_one")).agg(F.count("_k").alias(name))
+
+
 class _Battery:
     """Collects aggregates and the checks that read them."""
 
     def __init__(self):
-        self.aggregates, self.checks = {}, []
+        self.aggregates, self.checks, self.distinct = {}, [], {}
 
     def measure(self, name: str, column: Column) -> Column:
         self.aggregates[name] = column.alias(name)
@@ -34,7 +49,8 @@ class _Battery:
         self.add(name, True, INFO, why)
 
     def run(self, df: DataFrame) -> DataFrame:
-        return df.agg(*self.aggregates.values()).select(F.inline(F.array(*self.checks)))
+        parts = [distinct_count(df, column, name) for name, column in self.distinct.items()]
+        return combined(df.agg(*self.aggregates.values()), *parts).select(F.inline(F.array(*self.checks)))
 
 
 def _text(*parts) -> Column:
@@ -54,7 +70,8 @@ def job_checks(df: DataFrame, as_of, max_null_rate=MAX_NULL_RATE) -> DataFrame:
     b.add("not_empty", rows > 0, CRITICAL, F.when(rows > 0, _text(rows, " rows")).otherwise("DataFrame is empty"))
 
     if "job_id" in have:
-        seen = b.measure("ids", F.count_distinct("job_id") + F.max(F.col("job_id").isNull().cast("int")))
+        b.distinct["ids"] = "job_id"
+        seen = F.col("ids") + b.measure("null_ids", F.max(F.col("job_id").isNull().cast("int")))
         dup = F.when(rows > 0, rows - seen).otherwise(0)
         b.add("no_duplicate_job_ids", dup == 0, WARNING,
               F.when(dup == 0, "No duplicates").otherwise(_text(dup, " duplicate job_ids detected")), duplicate_count=dup)

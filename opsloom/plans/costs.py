@@ -8,10 +8,13 @@ SPIKE = 0.20
 
 
 def daily_costs(costs: DataFrame) -> DataFrame:
-    """Cost, lines, services and resources per team, environment, category, provider and day."""
-    return costs.groupBy(*TEAM_KEYS, "cost_date").agg(
-        F.sum("cost_usd").alias("total_cost_usd"),
-        F.count(F.lit(1)).alias("line_item_count"),
+    """Cost, lines, services and resources per team, environment, category, provider and day. Lines are first reduced
+    to one row per service and resource, so that only those are expanded for the distinct counts."""
+    lines = costs.groupBy(*TEAM_KEYS, "cost_date", "service_name", "resource_id").agg(
+        F.sum("cost_usd").alias("_cost"), F.count(F.lit(1)).alias("_lines"))
+    return lines.groupBy(*TEAM_KEYS, "cost_date").agg(
+        F.sum("_cost").alias("total_cost_usd"),
+        F.sum("_lines").alias("line_item_count"),
         F.count_distinct("service_name").alias("service_count"),
         F.count_distinct("resource_id").alias("resource_count"),
     )
@@ -67,11 +70,13 @@ def cost_attribution(billing: DataFrame) -> DataFrame:
             "team_label": F.coalesce("team_label", F.lit("unattributed")),
             "env_label": F.coalesce("env_label", F.lit("unknown")),
         })
+        .groupBy("billing_month", *BILLING_KEYS, "usage_date")
+        .agg(F.sum("cost_usd").alias("_cost"), F.sum("total_credits_usd").alias("_credits"))
         .groupBy("billing_month", *BILLING_KEYS)
         .agg(
-            F.sum("cost_usd").alias("gross_cost_usd"),
-            F.sum("total_credits_usd").alias("total_credits_usd"),
-            F.count_distinct("usage_date").alias("billing_days"),
+            F.sum("_cost").alias("gross_cost_usd"),
+            F.sum("_credits").alias("total_credits_usd"),
+            F.count("usage_date").alias("billing_days"),
         )
         .withColumn("net_cost_usd", F.col("gross_cost_usd") + F.col("total_credits_usd"))
     )

@@ -9,6 +9,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Shuffles start with many partitions, which adaptive execution merges where they are small; it never splits a sort's.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

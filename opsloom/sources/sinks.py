@@ -1,4 +1,6 @@
 """Writing tables, reports and audit records."""
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opsloom.functions import week_start
@@ -70,10 +72,28 @@ def materialize(df: DataFrame, name: str, kind: str, path: str | None = None) ->
 
 
 def store_failures(tests: dict[str, DataFrame], folder: str) -> list[str]:
-    """Write the failing rows of each test that has any; return the names of those tests."""
+    """Write the failing rows of each test, once; return the names of the tests that have any."""
     failed = []
     for name, df in tests.items():
-        if not df.isEmpty():
-            write_overwrite(df, f"{folder}/{name}")
+        write_overwrite(df, f"{folder}/{name}")
+        if not df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}").isEmpty():
             failed.append(name)
     return failed
+
+
+def expire_partitions(spark: SparkSession, path: str, partition: str, as_of, days: int) -> list[str]:
+    """Remove the folders of date partitions older than `days` days; return their names. Folders whose value is no date stay."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    oldest = datetime.date.fromisoformat(str(as_of)[:10]) - datetime.timedelta(days=days)
+    gone = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        key, _, value = name.partition("=")
+        try:
+            old = key == partition and datetime.date.fromisoformat(value) < oldest
+        except ValueError:
+            continue
+        if old and fs.delete(status.getPath(), True):
+            gone.append(name)
+    return sorted(gone)

@@ -2,10 +2,16 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A Parquet table; with a schema, columns that are absent read as NULL."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None, nan_as_null=False) -> DataFrame:
+    """A Parquet table; with a schema, columns that are absent read as NULL.
+
+    Files written from pandas may hold NaN for NULL; `nan_as_null` reads it so, at the price that filters on float columns
+    no longer reach the scan.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(path)
+    if not nan_as_null:
+        return df
     floats = {
         f.name: F.when(~F.isnan(f.name), F.col(f.name)) for f in df.schema
         if isinstance(f.dataType, (T.DoubleType, T.FloatType))

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from opsloom.operators.staging import fleet_telemetry
 from opsloom.plans.fleet import SERIES
 from opsloom.schemas import FLEET_TELEMETRY
+from opsloom.session import settled
 
 REQUIRED = [f.name for f in FLEET_TELEMETRY if not f.nullable]
 _CORRUPT = "_corrupt"
@@ -83,6 +84,43 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, available_now=True)
     return writer.start(path)
 
 
-def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, late="1 hour", available_now=True):
-    """Files of JSON lines to an append-only table: parse, validate, drop repeated ids."""
-    return append_to(deduplicated(valid_messages(message_stream(spark, source)), late), sink, checkpoint, available_now)
+def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, late="1 hour", available_now=True, max_files: int | None = None):
+    """Files of JSON lines to append-only tables; no message is lost.
+
+    `sink` gets the first message of each id, `sink`_rejected what does not parse or lacks a field, with the reason, and
+    `sink`_late what is older than the newest time of earlier batches minus `late`. A repeat of an id that is in `sink` and not late is
+    dropped. Each batch writes its own partition `batch`, so a batch that is run again replaces what it wrote. Ids are
+    looked up only among rows young enough to be repeated.
+    """
+    rejected, too_late, marks = f"{sink}_rejected", f"{sink}_late", f"{sink}_marks"
+    none = spark.createDataFrame([], T.StructType([T.StructField("value", T.StringType())]))
+    empty = valid_messages(none)
+    seeds = {sink: empty, too_late: empty, rejected: rejected_messages(none), marks: empty.select(F.col("event_ts").alias("newest"))}
+    for path, df in seeds.items():
+        df.write.mode("overwrite").parquet(f"{path}/batch=-1")
+    schema = {path: T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())]) for path, df in seeds.items()}
+
+    def keep(batch, number):
+        session = batch.sparkSession
+
+        def before(path):
+            return session.read.schema(schema[path]).parquet(path).where(F.col("batch") < number)
+
+        def put(df, path):
+            df.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+        parsed = settled(parse_messages(batch))
+        put(parsed.where("reason IS NOT NULL").select("message", "reason"), rejected)
+        good = parsed.where("reason IS NULL").drop("reason", "message")
+        floor = before(marks).agg((F.max("newest") - F.expr(f"INTERVAL {late}")).alias("f")).first().f
+        old = F.lit(False) if floor is None else F.col("event_ts") < F.lit(floor)
+        put(good.where(old), too_late)
+        fresh = good.where(~old).dropDuplicates(["event_id"])
+        known = before(sink) if floor is None else before(sink).where(F.col("event_ts") >= F.lit(floor))
+        put(fresh.join(known.select("event_id"), "event_id", "left_anti").select(*good.columns), sink)
+        put(good.agg(F.max("event_ts").alias("newest")).where("newest IS NOT NULL"), marks)
+
+    writer = message_stream(spark, source, max_files).writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

@@ -162,3 +162,13 @@ def test_spike_is_critical(spark):
     r = series.series_anomalies(one_series(spark, values), ["k"], "o", "v").first()
     assert r.pos == 60 and r.severity == "critical" and r.is_zscore and r.is_iqr
     assert r.rolling_mean == pytest.approx(np.mean(values), abs=1e-4)
+
+
+def test_exponential_mean_over_a_gap_of_any_length(spark):
+    import pandas as pd
+    from opsloom.operators.ordered import exponential_mean
+    n, span = 260_000, 400_000
+    df = spark.range(n).select(F.lit("s").alias("k"), F.col("id").alias("pos"), F.when(F.col("id") == 0, 1.0).when(F.col("id") == n - 1, 0.0).alias("v"))
+    got = exponential_mean(df, ["k"], "v", span).where(F.col("pos") == n - 1).first().ewm_mean
+    x = pd.Series([1.0] + [None] * (n - 2) + [0.0], dtype="float64")
+    assert got == pytest.approx(x.ewm(span=span, adjust=False).mean().iloc[-1], rel=1e-9)
