@@ -1,4 +1,6 @@
 """Helpers that the operators of this package share."""
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,6 +12,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def released(df: DataFrame) -> DataFrame:
+    """As `settled`; then let go of the shuffle files behind it. Spark removes them when the driver's garbage collector finds that no plan
+    needs them, which on an idle driver may come after the disks are full."""
+    df = settled(df)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
 def text_of(name="text"):
     """A text column; null counts as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from opsloom.llm.common import settled, slices, starts_of_groups, text_of
+from opsloom.llm.common import released, settled, slices, starts_of_groups, text_of
 
 WIDTH = 200
 GRAM = 32
@@ -110,40 +110,49 @@ def decided(rows: DataFrame, shared: str, whole: str):
     repeated: rows whose whole occurs twice. open: one row per different whole of a shared part that has several, at
     least one of them alone; `wanted` stays on those that are alone.
     """
-    n = F.count(F.lit(1)).alias("n")
-    slim = rows.groupBy(shared, whole).agg(n, F.max("wanted").alias("wanted"))
-    parts = slim.groupBy(shared).agg(F.count(F.lit(1)).alias("k"), F.max((F.col("n") == 1) & F.col("wanted")).alias("any")).where("k > 1 AND any").select(shared)
-    wholes = rows.groupBy(shared, whole).agg(n, *[F.first(c).alias(c) for c in ("doc", "hash", "place", "wanted")])
+    wholes = released(rows.groupBy(shared, whole).agg(
+        F.count(F.lit(1)).alias("n"), F.max("wanted").alias("any"), *[F.first(c).alias(c) for c in ("doc", "hash", "place", "wanted")]))
+    parts = wholes.groupBy(shared).agg(F.count(F.lit(1)).alias("k"), F.max((F.col("n") == 1) & F.col("wanted")).alias("any")).where("k > 1 AND any").select(shared)
     open_ = wholes.join(parts, shared, "left_semi").select("doc", "hash", "place", (F.col("wanted") & (F.col("n") == 1)).alias("wanted"))
-    twice = slim.where("n > 1 AND wanted").select(shared, whole)
-    repeated = rows.where("wanted").join(twice, [shared, whole], "left_semi").select("doc", "hash", "place")
-    return repeated, open_
+    return _repeated(rows, wholes.where("n > 1 AND any").select(shared, whole)), released(open_)
+
+
+def _repeated(rows, twice):
+    return released(rows.where("wanted").join(twice, twice.columns, "left_semi").select("doc", "hash", "place"))
 
 
 def spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc, hash, start, end): byte ranges that repeated windows cover; they overlap."""
     texts = identified(docs)
-    rows = sampled(texts, width)
-    grams = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    pivot = settled(rows.join(grams, "gram", "left_semi")).withColumn("wanted", F.lit(True))
-    by_context, open_ = decided(pivot, "gram", "name")
+    pivot = _repeated_grams(texts, width)
+    by_context, open_ = decided(pivot.withColumn("wanted", F.lit(True)), "gram", "name")
+    del pivot
 
     need = open_.groupBy("doc", "hash").agg(F.collect_list(F.struct("place", "wanted")).alias("pivots"))
-    cut = settled(_by_document(texts, need).mapInArrow(_contexts(width), "doc long, hash long, place long, wanted boolean, context binary"))
-    blocks = settled(cut.mapInArrow(_blocks(width), BLOCK_TYPES))
+    cut = released(_by_document(texts, need).mapInArrow(_contexts(width), "doc long, hash long, place long, wanted boolean, context binary"))
+    blocks = released(cut.mapInArrow(_blocks(width), BLOCK_TYPES))
     by_block, still = decided(blocks, "shared", "whole")
+    del blocks, need, open_
 
     asked = still.select(F.col("doc").alias("d"), F.col("hash").alias("h"), F.col("place").alias("block"), F.col("wanted").alias("want"), F.expr(AT).alias("a"))
     windows = cut.drop("wanted").join(
         asked, F.col("doc").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h")) & (F.expr(AT) == F.col("a")))
-    windows = settled(windows.select("doc", "hash", "place", "context", "block", "want").mapInArrow(_windows(width), BLOCK_TYPES))
+    windows = released(windows.select("doc", "hash", "place", "context", "block", "want").mapInArrow(_windows(width), BLOCK_TYPES))
+    del cut, asked, still
     twice = windows.groupBy("shared", "whole").agg(F.count(F.lit(1)).alias("n"), F.max("wanted").alias("any")).where("n > 1 AND any").select("shared", "whole")
-    by_window = windows.where("wanted").join(twice, ["shared", "whole"], "left_semi").select("doc", "hash", "place")
+    by_window = _repeated(windows, twice)
 
     return by_context.union(by_block).union(by_window).select(
         "doc", "hash", F.expr(f"{AT} - ({HIGH})").alias("start"), F.expr(f"{AT} - ({LOW}) + {width}").alias("end"))
 
 
+def _repeated_grams(texts: DataFrame, width: int) -> DataFrame:
+    """The pivots whose gram occurs twice."""
+    rows = settled(sampled(texts, width))
+    grams = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    return released(rows.join(grams, "gram", "left_semi"))
+
+
 def _by_document(texts: DataFrame, need: DataFrame, how="inner") -> DataFrame:
     other = need.withColumnRenamed("doc", "d").withColumnRenamed("hash", "h")
     return texts.join(other, F.col("doc").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h")), how).drop("d", "h")
@@ -230,7 +239,7 @@ def merged(ranges):
 
 def spans_by_document(docs: DataFrame, width: int) -> DataFrame:
     """The spans of each document that has any."""
-    return spans(docs, width).distinct().groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return spans(docs, width).groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
