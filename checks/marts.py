@@ -412,6 +412,19 @@ def q22(t):
     return freshness.source_freshness(t.fleet_events, "fleet_events", "2024-01-31 03:00:00")
 
 
+@query("Q22_all_sources", oracle(
+    " UNION ALL ".join(f"""SELECT '{n}' AS table_name, max(ingested_at) AS max_loaded_at, (epoch_us(TIMESTAMP '2024-01-31 03:00:00') - epoch_us(max(ingested_at))) / 3600000000.0::DOUBLE AS age_hours,
+        CASE WHEN max(ingested_at) IS NULL OR (epoch_us(TIMESTAMP '2024-01-31 03:00:00') - epoch_us(max(ingested_at))) / 3600000000.0::DOUBLE > {e} THEN 'error'
+             WHEN (epoch_us(TIMESTAMP '2024-01-31 03:00:00') - epoch_us(max(ingested_at))) / 3600000000.0::DOUBLE > {w} THEN 'warn' ELSE 'pass' END AS state FROM {x}"""
+                       for n, x, w, e in (("fleet_events", "fleet_events", 2, 4), ("slo_metrics", "slo_metrics", 2, 6),
+                                          ("cost_billing_export", "(SELECT usage_start_time AS ingested_at FROM cost_lines)", 26, 50))),
+    "fleet_events", "slo_metrics", "cost_lines", t="max_loaded_at", f="age_hours"))
+def q22a(t):
+    at = "2024-01-31 03:00:00"
+    return freshness.source_freshness(t.fleet_events, "fleet_events", at).union(
+        freshness.source_freshness(t.slo_metrics, "slo_metrics", at)).union(freshness.source_freshness(t.cost_billing_export, "cost_billing_export", at))
+
+
 @query("Q23_recent_rows", oracle(
     """SELECT count(*) AS recent_rows, count(*) > 0 AS is_fresh FROM fleet_telemetry
        WHERE event_ts >= TIMESTAMP '2024-01-29 23:00:00'""", "fleet_telemetry"))

@@ -28,19 +28,19 @@ CHECKS_SQL = f"""m AS (
     FROM job_metadata)"""
 CHECK_ROWS = """
     SELECT 'not_empty' AS name, n > 0 AS passed, 'CRITICAL' AS severity, n || ' rows' AS message FROM m
-    UNION ALL SELECT 'no_duplicate_job_ids', dup = 0, 'WARNING', CASE WHEN dup = 0 THEN 'No duplicates' ELSE dup || ' duplicate job_ids detected' END FROM m
-    UNION ALL SELECT 'required_fields_not_null', true, 'CRITICAL', 'All required fields populated' FROM m
+    UNION ALL SELECT 'no_duplicate_job_ids', dup = 0, 'WARNING', CASE WHEN dup = 0 THEN 'every job_id is unique' ELSE dup || ' rows repeat a job_id' END FROM m
+    UNION ALL SELECT 'required_fields_not_null', true, 'CRITICAL', 'no required field is null' FROM m
     UNION ALL SELECT 'timestamp_range', hi <= TIMESTAMP '2024-01-30 12:00:00', 'WARNING',
         'min=' || lo || ', max=' || hi || CASE WHEN hi > TIMESTAMP '2024-01-30 12:00:00' THEN ' FUTURE' ELSE '' END FROM m
-    UNION ALL SELECT 'duration_plausible', extreme = 0 AND negative = 0, 'WARNING', extreme || ' durations >48h, ' || negative || ' negative durations' FROM m
-    UNION ALL SELECT 'status_distribution', rate <= 0.5, 'WARNING', 'Failure rate: ' || CAST(round(CAST(rate * 100 AS DECIMAL(18,8)), 1) AS VARCHAR) || '%' FROM m
-    UNION ALL SELECT 'workload_type_coverage', types = 3, 'WARNING', 'All types present' FROM m
+    UNION ALL SELECT 'duration_plausible', extreme = 0 AND negative = 0, 'WARNING', extreme || ' above two days, ' || negative || ' below zero' FROM m
+    UNION ALL SELECT 'status_distribution', rate <= 0.5, 'WARNING', 'share of failures ' || CAST(round(CAST(rate * 100 AS DECIMAL(18,8)), 1) AS VARCHAR) || '%' FROM m
+    UNION ALL SELECT 'workload_type_coverage', types = 3, 'WARNING', 'each expected type occurs' FROM m
     UNION ALL SELECT 'resource_value_bounds', len(bounds) = 0, 'WARNING',
-        CASE WHEN len(bounds) = 0 THEN 'All resource values within bounds' ELSE 'Out of bounds: ' || array_to_string(bounds, ', ') END FROM m
+        CASE WHEN len(bounds) = 0 THEN 'readings stay within their limits' ELSE 'readings beyond their limits: ' || array_to_string(bounds, ', ') END FROM m
     UNION ALL SELECT 'null_rate_per_column', len(high) = 0, 'WARNING',
-        CASE WHEN len(high) = 0 THEN 'Null rates acceptable' ELSE 'Columns above the null rate: ' || array_to_string(high, ', ') END FROM m
+        CASE WHEN len(high) = 0 THEN 'no column is null too often' ELSE 'null too often: ' || array_to_string(high, ', ') END FROM m
     UNION ALL SELECT 'no_future_timestamps', ahead = 0, 'WARNING',
-        CASE WHEN ahead = 0 THEN 'No future timestamps' ELSE ahead || ' future timestamps detected' END FROM m"""
+        CASE WHEN ahead = 0 THEN 'nothing lies ahead of the check' ELSE ahead || ' timestamps lie ahead of the check' END FROM m"""
 
 
 def checked(t):
@@ -62,6 +62,14 @@ def q12(t):
     return report.withColumn("names", F.array_join("checks.name", ",")).drop("checks")
 
 
+@query("Q11_gate", oracle(
+    """SELECT 'required_fields_not_null' AS name, 'nulls by required field: job_id: ' || count(*) FILTER (right(job_id, 1) = '3') AS message
+       FROM job_metadata HAVING count(*) FILTER (right(job_id, 1) = '3') > 0""", "job_metadata"))
+def q11(t):
+    broken = t.job_metadata.select(*CHECK_COLS).withColumn("job_id", F.when(~F.col("job_id").endswith("3"), F.col("job_id")))
+    return quality.critical_failures(quality.job_checks(broken, AS_OF_CHECKS))
+
+
 @query("A28_status_distribution", oracle("SELECT status, count(*) AS n FROM job_metadata GROUP BY 1", "job_metadata"))
 def a28(t):
     return quality.status_distribution(t.job_metadata)
@@ -83,8 +91,8 @@ DOC_SCHEMA = [
 
 
 @query("Q13_validate_schema", oracle(
-    """SELECT 'Missing column: author' AS message UNION ALL SELECT 'Column ''n_chars'' is bigint, expected float64.'
-       UNION ALL SELECT 'Column ''text'' must be unique but has ' || (count(*) - count(DISTINCT text)) || ' duplicates.'
+    """SELECT 'no such column: author' AS message UNION ALL SELECT 'n_chars has type bigint instead of float64'
+       UNION ALL SELECT 'text may not repeat; rows: ' || (count(*) - count(DISTINCT text))
          FROM documents HAVING count(*) > count(DISTINCT text)"""))
 def q13(t):
     return curation.validate(t.raw("documents"), DOC_SCHEMA)
@@ -119,6 +127,17 @@ def q15b(t):
         "row_count", (F.col("a") == F.col("b")).alias("same"))
 
 
+@query("Q15_checksum_sees_changes", oracle("SELECT count(*) AS row_count, true AS same, false AS changed_is_same FROM documents"))
+def q15c(t):
+    """Copies of the rows agree; one changed value does not."""
+    docs = t.raw("documents")
+    changed = docs.withColumn("text", F.when(F.col("doc_id") == 0, F.concat("text", F.lit("."))).otherwise(F.col("text")))
+    a, b, c = (curation.lineage_record(d, "s", "t", "o", EVENTS_AS_OF).select("row_count", F.col("checksum").alias(n))
+               for d, n in ((docs, "a"), (docs.repartition(3), "b"), (changed, "c")))
+    return a.join(b, "row_count").join(c, "row_count").select(
+        "row_count", (F.col("a") == F.col("b")).alias("same"), (F.col("a") == F.col("c")).alias("changed_is_same"))
+
+
 EXPECT = "stg_events"
 
 
@@ -208,6 +227,13 @@ def q18(t):
     return quality.scores_out_of_bounds(fleet_checks.scores(t))
 
 
+@query("Q18_scores_beyond_found", oracle(
+    "SELECT cluster_name, environment, event_hour, fleet_health_score * 3 - 140 AS fleet_health_score FROM scores WHERE fleet_health_score * 3 - 140 < 0 OR fleet_health_score * 3 - 140 > 100",
+    *fleet_checks.FLEET, t="event_hour", f="fleet_health_score"))
+def q18b(t):
+    return quality.scores_out_of_bounds(fleet_checks.scores(t).withColumn("fleet_health_score", F.col("fleet_health_score") * 3 - 140))
+
+
 @query("Q19_unresolved_critical", oracle(
     """SELECT cluster_name, environment, event_hour, z_score FROM candidates
        WHERE anomaly_severity = 'high' AND event_hour < TIMESTAMP '2024-01-30 20:00:00' AND environment <> 'prod'""",
@@ -393,6 +419,30 @@ for _name, _metric, _expr in [
         return semantic.kpi_value(marts.health(t), metric, EVENTS_AS_OF, 15, {"environment": "prod"})
 
 
+@query("M05_kpi_28_days_of_a_squad", oracle(
+    """SELECT cur AS value, prev AS previous_value, (cur - prev) / NULLIF(prev, 0) AS change FROM (
+        SELECT sum(deploy_count) FILTER (report_date >= DATE '2024-01-03')::DOUBLE AS cur, sum(deploy_count) FILTER (report_date < DATE '2024-01-03')::DOUBLE AS prev
+        FROM health WHERE report_date < DATE '2024-01-31' AND report_date >= DATE '2023-12-06' AND squad = 'squad-2')""", *HEALTH, f="value previous_value change"))
+def m05q(t):
+    return semantic.kpi_value(marts.health(t), "total_deploys", EVENTS_AS_OF, filters={"squad": "squad-2"})
+
+
+@query("M02_cost_metric", oracle(
+    """SELECT report_date AS period, squad, sum(c) AS total_daily_cost_usd FROM (SELECT report_date, squad, max(daily_cost_usd) AS c FROM health GROUP BY 1, 2) GROUP BY 1, 2""",
+    *HEALTH, d="period", f="total_daily_cost_usd"))
+def m02c(t):
+    return semantic.metric_query(marts.health(t), "total_daily_cost_usd", "day", ("squad",))
+
+
+@query("M02_anomaly_dimensions", oracle(
+    """SELECT CASE WHEN deployment_frequency >= 1 AND change_failure_rate <= 0.05 AND mean_time_to_recovery_mins <= 60 THEN 'Elite'
+         WHEN deployment_frequency >= 1/7.0 AND change_failure_rate <= 0.10 AND mean_time_to_recovery_mins <= 1440 THEN 'High'
+         WHEN deployment_frequency >= 1/30.0 AND change_failure_rate <= 0.15 THEN 'Medium' ELSE 'Low' END AS dora_tier, incident_anomaly AS has_incident_anomaly, cost_anomaly AS has_cost_anomaly, sum(deploy_count) AS total_deploys
+       FROM health GROUP BY 1, 2, 3""", *HEALTH, i="total_deploys"))
+def m02d(t):
+    return semantic.metric_query(marts.health(t), "total_deploys", None, ("dora_tier", "has_incident_anomaly", "has_cost_anomaly"))
+
+
 @query("M05_deploy_trend", oracle(
     """SELECT report_date AS period, sum(deploy_count) AS total_deploys, sum(incident_count) AS total_incidents
        FROM health WHERE environment = 'prod' GROUP BY 1 ORDER BY 1 LIMIT 90""", *HEALTH, d="period", i="total_deploys total_incidents"))

@@ -78,6 +78,23 @@ def s07(t):
         "fleet_health_key", "report_date", "service_name", "total_events")
 
 
+@query("S07_write_known_tables", oracle(
+    """SELECT 'flight_routes' AS name, count(*) AS n, count(DISTINCT CAST(scheduled_departure_ts AS DATE)) AS parts FROM flight_routes
+       UNION ALL SELECT 'cost_events', count(*), count(DISTINCT cost_date) FROM cost_events
+       UNION ALL SELECT 'infra_metrics', count(*), count(DISTINCT CAST(scraped_ts AS DATE)) FROM infra_metrics
+       UNION ALL SELECT 'fleet_health_daily', count(*), count(DISTINCT report_date) FROM health""",
+    "flight_routes", "cost_events", "infra_metrics", *marts.SERVICE))
+def s07k(t):
+    out = None
+    for name, df, day in (("flight_routes", t.flight_routes, "scheduled_departure_ts_date"), ("cost_events", t.cost_events, "cost_date"),
+                          ("infra_metrics", t.infra_metrics, "scraped_ts_date"), ("fleet_health_daily", marts.health(t), "report_date")):
+        path = scratch(t, name)
+        sinks.write_known(df, name, path)
+        one = t.spark.read.parquet(path).groupBy(day).count().agg(F.sum("count").alias("n"), F.count(day).alias("parts")).select(F.lit(name).alias("name"), "n", "parts")
+        out = one if out is None else out.union(one)
+    return out
+
+
 @query("S08_upsert_recent_days", oracle("SELECT * FROM health", *marts.SERVICE, d="report_date", f=marts.HEALTH_F))
 def s08(t):
     """The mart as of the 29th, then three days reprocessed on the 31st: equal to a full build."""

@@ -31,23 +31,23 @@ def validate(df: DataFrame, schema: list[ColumnSpec]) -> DataFrame:
     static, aggregates, messages, parts = [], [], [], []
     for s in schema:
         if s.name not in df.columns:
-            static.append(f"Missing column: {s.name}")
+            static.append(f"no such column: {s.name}")
             continue
         if not isinstance(df.schema[s.name].dataType, TYPE_NAMES.get(s.dtype, (T.DataType,))):
-            static.append(f"Column '{s.name}' is {df.schema[s.name].dataType.simpleString()}, expected {s.dtype}.")
+            static.append(f"{s.name} has type {df.schema[s.name].dataType.simpleString()} instead of {s.dtype}")
         c, i = F.col(s.name), len(aggregates)
         if not s.nullable:
             aggregates.append(F.count_if(c.isNull()).alias(f"_m{i}"))
             n = F.col(f"_m{i}")
             messages.append(F.when(n > 0, F.concat(
-                F.lit(f"Column '{s.name}' is not nullable but has "), n.cast("string"), F.lit(" nulls."))))
+                F.lit(f"{s.name} may not be null; rows: "), n.cast("string"))))
         if s.unique:
             i = len(aggregates)
             parts.append(distinct_count(df, s.name, f"_d{i}"))
             aggregates.append((F.count(F.lit(1)) - F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))).alias(f"_m{i}"))
             n = F.col(f"_m{i}") - F.col(f"_d{i}")
             messages.append(F.when(n > 0, F.concat(
-                F.lit(f"Column '{s.name}' must be unique but has "), n.cast("string"), F.lit(" duplicates."))))
+                F.lit(f"{s.name} may not repeat; rows: "), n.cast("string"))))
     every = F.array(*[F.lit(m) for m in static], *messages, F.lit(None).cast("string"))
     found = combined(df.agg(F.count(F.lit(1)).alias("_rows"), *aggregates), *parts)
     return found.select(F.explode(every).alias("message")).where(F.col("message").isNotNull())

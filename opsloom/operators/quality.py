@@ -67,25 +67,25 @@ def job_checks(df: DataFrame, as_of, max_null_rate=MAX_NULL_RATE) -> DataFrame:
     """Ten checks of a job table: (name, passed, severity, message, detail)."""
     b, have, now = _Battery(), set(df.columns), F.lit(as_of).cast("timestamp")
     rows = b.measure("rows", F.count(F.lit(1)))
-    b.add("not_empty", rows > 0, CRITICAL, F.when(rows > 0, _text(rows, " rows")).otherwise("DataFrame is empty"))
+    b.add("not_empty", rows > 0, CRITICAL, F.when(rows > 0, _text(rows, " rows")).otherwise("the table has no rows"))
 
     if "job_id" in have:
         b.distinct["ids"] = "job_id"
         seen = F.col("ids") + b.measure("null_ids", F.max(F.col("job_id").isNull().cast("int")))
         dup = F.when(rows > 0, rows - seen).otherwise(0)
         b.add("no_duplicate_job_ids", dup == 0, WARNING,
-              F.when(dup == 0, "No duplicates").otherwise(_text(dup, " duplicate job_ids detected")), duplicate_count=dup)
+              F.when(dup == 0, "every job_id is unique").otherwise(_text(dup, " rows repeat a job_id")), duplicate_count=dup)
     else:
         b.skip("no_duplicate_job_ids", "job_id column absent")
 
     absent = [c for c in JOB_IDENTITY if c not in have]
     nulls = [(c, b.measure(f"null_{c}", F.count_if(F.col(c).isNull()))) for c in JOB_IDENTITY if c in have]
     if absent:
-        b.add("required_fields_not_null", False, CRITICAL, f"Required columns absent: {', '.join(absent)}")
+        b.add("required_fields_not_null", False, CRITICAL, f"columns not found: {', '.join(absent)}")
     else:
         total = sum((c for _, c in nulls), F.lit(0))
         b.add("required_fields_not_null", total == 0, CRITICAL,
-              F.when(total == 0, "All required fields populated").otherwise(_text("NULLs in required: ", _listed(nulls))),
+              F.when(total == 0, "no required field is null").otherwise(_text("nulls by required field: ", _listed(nulls))),
               **dict(nulls))
 
     if "submitted_at" in have:
@@ -105,8 +105,8 @@ def job_checks(df: DataFrame, as_of, max_null_rate=MAX_NULL_RATE) -> DataFrame:
         extreme = b.measure("extreme", F.count_if(d > MAX_DURATION_SECONDS))
         negative = b.measure("negative", F.count_if(d < 0))
         b.add("duration_plausible", (extreme == 0) & (negative == 0), F.when(known == 0, INFO).otherwise(WARNING),
-              F.when(known == 0, "No non-null durations")
-              .otherwise(_text(extreme, " durations >48h, ", negative, " negative durations")),
+              F.when(known == 0, "durations are all null")
+              .otherwise(_text(extreme, " above two days, ", negative, " below zero")),
               extreme_count=extreme, negative_count=negative)
     else:
         b.skip("duration_plausible", "duration_seconds absent")
@@ -116,7 +116,7 @@ def job_checks(df: DataFrame, as_of, max_null_rate=MAX_NULL_RATE) -> DataFrame:
         rate = F.try_divide(failed.cast("double"), rows.cast("double"))
         # A mean over no rows is undefined and does not pass.
         b.add("status_distribution", F.coalesce(rate <= MAX_FAILURE_RATE, F.lit(False)), WARNING,
-              _text("Failure rate: ", F.coalesce(F.format_number(rate * 100, 1), F.lit("NULL")), "%"), failure_rate=rate)
+              _text("share of failures ", F.coalesce(F.format_number(rate * 100, 1), F.lit("NULL")), "%"), failure_rate=rate)
     else:
         b.skip("status_distribution", "status absent")
 
@@ -124,8 +124,8 @@ def job_checks(df: DataFrame, as_of, max_null_rate=MAX_NULL_RATE) -> DataFrame:
         counts = [(w, b.measure(f"type_{w}", F.count_if(F.col("workload_type") == w))) for w in EXPECTED_WORKLOADS]
         missing = F.filter(F.array(*[F.when(c == 0, F.lit(w)) for w, c in counts]), lambda x: x.isNotNull())
         b.add("workload_type_coverage", F.size(missing) == 0, WARNING,
-              F.when(F.size(missing) == 0, "All types present")
-              .otherwise(_text("Missing workload types: ", F.array_join(missing, ", "))), missing=missing)
+              F.when(F.size(missing) == 0, "each expected type occurs")
+              .otherwise(_text("types that do not occur: ", F.array_join(missing, ", "))), missing=missing)
     else:
         b.skip("workload_type_coverage", "workload_type absent")
 
@@ -133,32 +133,37 @@ def job_checks(df: DataFrame, as_of, max_null_rate=MAX_NULL_RATE) -> DataFrame:
                for c, (lo, hi) in RESOURCE_BOUNDS.items() if c in have]
     bad = sum((c for _, c in bounded), F.lit(0))
     b.add("resource_value_bounds", bad == 0, WARNING,
-          F.when(bad == 0, "All resource values within bounds")
-          .otherwise(_text("Out of bounds: ", _listed(bounded))) if bounded else "All resource values within bounds")
+          F.when(bad == 0, "readings stay within their limits")
+          .otherwise(_text("readings beyond their limits: ", _listed(bounded))) if bounded else "readings stay within their limits")
 
     rates = {c: F.try_divide(b.measure(f"nulls_{i}", F.count_if(F.col(f"`{c}`").isNull())).cast("double"), rows.cast("double"))
              for i, c in enumerate(df.columns)}
     if rates:
         high = F.filter(F.array(*[F.when(r > max_null_rate, F.lit(c)) for c, r in rates.items()]), lambda x: x.isNotNull())
         b.add("null_rate_per_column", F.size(high) == 0, WARNING,
-              F.when(F.size(high) == 0, "Null rates acceptable")
-              .otherwise(_text("Columns above the null rate: ", F.array_join(high, ", "))), columns=high)
+              F.when(F.size(high) == 0, "no column is null too often")
+              .otherwise(_text("null too often: ", F.array_join(high, ", "))), columns=high)
     else:
-        b.add("null_rate_per_column", True, WARNING, "Null rates acceptable")
+        b.add("null_rate_per_column", True, WARNING, "no column is null too often")
 
     stamps = [c for c in ("submitted_at", "started_at", "completed_at") if c in have]
     ahead = sum((b.measure(f"ahead_{c}", F.count_if(as_utc(df, c) > now)) for c in stamps), F.lit(0))
     b.add("no_future_timestamps", ahead == 0, WARNING,
-          F.when(ahead == 0, "No future timestamps").otherwise(_text(ahead, " future timestamps detected")), future_count=ahead)
+          F.when(ahead == 0, "nothing lies ahead of the check").otherwise(_text(ahead, " timestamps lie ahead of the check")), future_count=ahead)
     return b.run(df)
 
 
+def critical_failures(results: DataFrame) -> DataFrame:
+    """(name, message) of the CRITICAL checks that failed."""
+    return results.where(~F.col("passed") & (F.col("severity") == CRITICAL)).select("name", "message")
+
+
 def assert_no_critical_failures(results: DataFrame) -> None:
     """Raise when a CRITICAL check failed. The results are one row per check."""
-    failed = results.where(~F.col("passed") & (F.col("severity") == CRITICAL)).select("name", "message").collect()
+    failed = critical_failures(results).collect()
     if failed:
         text = "; ".join(f"{r['name']}: {r['message']}" for r in failed)
-        raise RuntimeError(f"CRITICAL quality checks failed - run aborted: {text}")
+        raise RuntimeError(f"stopped by CRITICAL checks: {text}")
 
 
 def quality_report(results: DataFrame, date, as_of) -> DataFrame:

@@ -4,7 +4,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from opsloom.functions import grain_start, pct_change
+from opsloom.functions import dora_tier, grain_start, pct_change
 
 
 @dataclass(frozen=True)
@@ -23,13 +23,22 @@ def _avg(c):
 
 
 HEALTH, SLO = "fleet_health_daily", "slo_compliance"
+COST = "total_daily_cost_usd"
 SLO_DIMENSIONS = ("service_name", "environment", "slo_name", "is_compliant", "alert_tier")
 SLO_GRAINS = ("week", "month", "quarter")
 VIEW_GRAINS = ("raw", "date", "day", "week", "month", "quarter", "year")
 
 
-def _health(name, measure):
-    return Metric(name, HEALTH, "report_date", measure, VIEW_GRAINS)
+# Dimensions that are no columns of their name.
+DERIVED = {
+    "has_incident_anomaly": lambda: F.col("incident_anomaly"), "has_cost_anomaly": lambda: F.col("cost_anomaly"),
+    "dora_tier": lambda: dora_tier("deployment_frequency", "change_failure_rate", "mean_time_to_recovery_mins"),
+}
+HEALTH_DIMENSIONS = ("service_name", "environment", "squad", "dora_tier", "has_incident_anomaly", "has_cost_anomaly")
+
+
+def _health(name, measure, dimensions=HEALTH_DIMENSIONS):
+    return Metric(name, HEALTH, "report_date", measure, VIEW_GRAINS, dimensions)
 
 
 METRICS = {m.name: m for m in [
@@ -39,6 +48,7 @@ METRICS = {m.name: m for m in [
     Metric("cost_per_deploy", HEALTH, "report_date", _avg("cost_per_deploy_usd")),
     Metric("slo_compliance_rate", SLO, "report_week", lambda: F.avg(F.col("is_compliant").cast("double")),
            SLO_GRAINS, SLO_DIMENSIONS),
+    _health("total_daily_cost_usd", lambda: F.sum("daily_cost_usd"), ("squad",)),
     _health("total_deploys", lambda: F.sum("deploy_count")),
     _health("total_incidents", lambda: F.sum("incident_count")),
     _health("avg_deployment_frequency", _avg("deployment_frequency")),
@@ -78,8 +88,14 @@ def metric_query(df: DataFrame, metrics, grain=None, dimensions=(), filters=None
         for d in dimensions:
             if d not in m.dimensions:
                 raise ValueError(f"{m.name} has no dimension {d}")
+    if COST in [m.name for m in chosen]:
+        if len(chosen) > 1:
+            raise ValueError(f"{COST} counts a squad and day once, so it is queried alone")
+        df = squad_days(filtered(df, time, filters, since, until))
+        filters = since = until = None
     keys = [] if grain is None else [grain_start(time, grain, monday_weeks).alias("period")]
-    return filtered(df, time, filters, since, until).groupBy(*keys, *dimensions).agg(
+    dims = [(DERIVED[d]() if d in DERIVED else F.col(d)).alias(d) for d in dimensions]
+    return filtered(df, time, filters, since, until).groupBy(*keys, *dims).agg(
         *[m.measure().alias(m.name) for m in chosen])
 
 
@@ -94,13 +110,14 @@ def metric_by_grains(df: DataFrame, metrics, grains, dimensions=(), filters=None
     )
 
 
+def squad_days(mart: DataFrame) -> DataFrame:
+    """Each squad's daily cost once; the mart has it on every row of the squad and day."""
+    return mart.groupBy("report_date", "squad").agg(F.max("daily_cost_usd").alias("daily_cost_usd"))
+
+
 def total_cost(mart: DataFrame, grain=None, dimensions=("squad",), filters=None, since=None, until=None) -> DataFrame:
-    """Cost by period and squad. Each squad's daily cost stands on every row of the
-    squad and day, so it is taken once per day and squad before it is summed."""
-    once = filtered(mart, "report_date", filters, since, until).groupBy("report_date", "squad").agg(
-        F.max("daily_cost_usd").alias("daily_cost_usd"))
-    keys = [] if grain is None else [grain_start("report_date", grain).alias("period")]
-    return once.groupBy(*keys, *dimensions).agg(F.sum("daily_cost_usd").alias("total_daily_cost_usd"))
+    """Cost by period and squad. No other dimension divides a squad's daily cost, so any other is an error."""
+    return metric_query(mart, COST, grain, dimensions, filters, since, until)
 
 
 # ---------------------------------------------------------------- dashboard

@@ -90,7 +90,10 @@ COST_EVENTS = _struct("""
     cost_category STRING, cloud_provider STRING, aws_region STRING, resource_id STRING,
     cost_usd DOUBLE, usage_amount DOUBLE, usage_unit STRING, cost_date DATE""")
 
-# table -> (schema, partition column, cluster columns, expiry in days or None)
+FLEET_DAILY = ["cluster_name", "environment"]
+
+# table -> (schema or None for a mart, partition column, cluster columns, expiry in days or None); a partition column
+# "date:x" is the date of column x.
 LAYOUT = {
     "job_metadata": (JOB_METADATA, "execution_date", ["workload_type", "environment", "status", "team"], 365),
     "resource_allocation_logs": (RESOURCE_ALLOCATION_LOGS, "log_date", ["job_id", "log_date"], None),
@@ -98,4 +101,16 @@ LAYOUT = {
     "fleet_events": (FLEET_EVENTS, "event_date", ["source_system", "event_type", "environment", "severity"], 365),
     "slo_metrics": (SLO_METRICS, "snapshot_date", ["service_name", "environment", "slo_name"], None),
     "cost_billing_export": (COST_BILLING_EXPORT, "usage_date", ["billing_account_id", "service.id", "project.id"], None),
+    "fleet_telemetry": (FLEET_TELEMETRY, "date:event_ts", FLEET_DAILY, None),
+    "flight_routes": (FLIGHT_ROUTES, "date:scheduled_departure_ts", ["route_code", "airline"], None),
+    "infra_metrics": (INFRA_METRICS, "date:scraped_ts", FLEET_DAILY, None),
+    "cost_events": (COST_EVENTS, "cost_date", ["team", "environment"], None),
+    "fleet_health_daily": (None, "report_date", ["environment", "service_name", "squad"], None),
+    "fleet_readiness_daily": (None, "event_date", FLEET_DAILY, None),
+    "anomaly_log": (None, "event_date", ["cluster_name", "anomaly_severity"], None),
+    "flight_ops_summary": (None, "event_date", ["route_code", "airline"], None),
+    "infra_cost_by_team": (None, "cost_date", ["team", "environment"], None),
+    "cost_attribution": (None, "billing_month", ["team_label", "project_id"], None),
+    "slo_compliance": (None, "report_week", ["service_name", "environment", "slo_name"], None),
+    "ops_kpi_dashboard": (None, "event_date", [], None),
 }

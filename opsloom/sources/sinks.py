@@ -1,10 +1,11 @@
 """Writing tables, reports and audit records."""
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from opsloom.functions import week_start
 from opsloom.operators.quality import failing_unique
+from opsloom.schemas import LAYOUT
 from opsloom.session import settled
 
 
@@ -30,6 +31,27 @@ def write_table(df: DataFrame, path: str, partition: str, cluster=(), mode="over
     )
 
 
+def write_known(df: DataFrame, name: str, path: str, mode="overwrite") -> None:
+    """Write a table of `schemas.LAYOUT` with its partition and cluster columns; a raw table must have the columns of its schema."""
+    schema, partition, cluster, _ = LAYOUT[name]
+    if schema is not None:
+        schema = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        absent = [f.name for f in schema if f.name not in df.columns]
+        if absent:
+            raise ValueError(f"{name} lacks {', '.join(absent)}")
+    if partition.startswith("date:"):
+        source = partition.removeprefix("date:")
+        partition = f"{source}_date"
+        df = df.withColumn(partition, F.to_date(source))
+    write_table(df, path, partition, cluster, mode)
+
+
+def expire_known(spark: SparkSession, name: str, path: str, as_of) -> list[str]:
+    """Remove the partitions of a table of `schemas.LAYOUT` that are past its expiry, if it has one."""
+    _, partition, _, days = LAYOUT[name]
+    return [] if days is None else expire_partitions(spark, path, partition, as_of, days)
+
+
 def replace_partitions(df: DataFrame, path: str, partition: str, key, cluster=()) -> None:
     """Replace the partitions that occur in df, leave the others. The key must be unique."""
     key = [key] if isinstance(key, str) else list(key)

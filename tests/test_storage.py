@@ -43,7 +43,7 @@ def test_empty_folder_is_an_error(spark, tmp_path):
 
 def test_nan_reads_as_null(spark, tmp_path):
     spark.createDataFrame([(float("nan"),), (1.0,)], "x double").write.parquet(str(tmp_path / "n"))
-    assert tables.read_table(spark, str(tmp_path / "n")).where("x IS NULL").count() == 1
+    assert tables.read_table(spark, str(tmp_path / "n"), nan_as_null=True).where("x IS NULL").count() == 1
 
 
 def test_schema_fills_absent_columns(spark, tmp_path):
@@ -88,3 +88,44 @@ def test_stream_scores_close_hours_behind_the_watermark(spark, tmp_path):
     ingest.append_to(ingest.hourly_scores(events, "30 minutes"), sink, state).awaitTermination()
     hours = [r.event_hour.hour for r in spark.read.parquet(sink).orderBy("event_hour").collect()]
     assert hours == [1, 2, 3]
+
+
+def test_filters_on_floats_reach_the_scan(spark):
+    from opsloom.sources import tables
+    plan = tables.read_table(spark, "/root/testdata/sf0.001/events.parquet").where("value > 400")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(value,400.0)" in plan
+
+
+def test_expired_partitions_are_removed(spark, tmp_path):
+    from opsloom.sources import sinks
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "2023-11-01"), (2, "2023-11-05"), (3, None)], "id int, day string").selectExpr("id", "CAST(day AS DATE) AS day")
+    sinks.write_table(df, path, "day")
+    assert sinks.expire_partitions(spark, path, "day", "2023-11-06", 3) == ["day=2023-11-01"]
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3]
+
+
+def test_unknown_columns_of_a_known_table(spark, tmp_path):
+    import pytest
+    from opsloom.sources import sinks
+    with pytest.raises(ValueError, match="cost_events lacks"):
+        sinks.write_known(spark.range(1), "cost_events", str(tmp_path / "t"))
+
+
+def test_late_messages_are_kept_apart_and_batches_repeat_safely(spark, tmp_path):
+    import json
+    from opsloom.streaming import ingest
+    from opsloom.streaming.ingest import REQUIRED
+
+    def message(i, hour):
+        return json.dumps({c: f"{c}" for c in REQUIRED} | {"event_id": i, "event_ts": f"2023-11-05T{hour}:00:00Z"} | {
+            c: 1 for c in REQUIRED if c in ("readiness_score", "node_count", "healthy_nodes", "desired_tasks", "running_tasks")})
+
+    source, sink, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    runs = [[message("a", "12"), message("b", "14"), "broken"], [message("c", "10"), message("e", "15"), message("b", "14")], [message("f", "15")]]
+    for lines in runs:
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(source)
+        ingest.ingest(spark, source, sink, state).awaitTermination()
+    ids = lambda path: sorted(r.event_id for r in spark.read.parquet(path).collect())
+    assert ids(sink) == ["a", "b", "e", "f"] and ids(sink + "_late") == ["c"]
+    assert [r.message for r in spark.read.parquet(sink + "_rejected").collect()] == ["broken"]
