@@ -14,6 +14,7 @@ from opsloom.llm.common import tasks
 
 BLOCK = 4096
 QUERY_BLOCK = 512
+DEPTHS = (0.375, 0.625, 0.75, 0.875)
 
 
 def quantised(vectors: DataFrame, key="vec_id", column="embedding", scale=256) -> DataFrame:
@@ -41,46 +42,63 @@ def matrix(ids, qs):
 
 
 class Block:
-    """Sorted lists of a block of vectors."""
+    """Sorted lists of a block of vectors. `ends` has the values of each list in order, `rank` the place of each component in its list. What
+    queries have read after some steps from either end of a list is the same for all of them, so a batch of queries is advanced by one product."""
 
     def __init__(self, ids, vectors):
         self.ids, self.vectors = ids, vectors
-        self.order = np.argsort(vectors, axis=0, kind="stable").T.copy()
-        self.values = np.take_along_axis(vectors.T, self.order, 1)
-
-    def top(self, own: int, query: np.ndarray, k: int):
-        """The k best (score, id) other than the query's own id, ties to the smaller id."""
+        order = np.argsort(vectors, axis=0, kind="stable")
+        self.ends = np.take_along_axis(vectors, order, 0).astype(float)
+        self.rank = np.empty(order.shape, np.int32)
+        np.put_along_axis(self.rank, order, np.arange(len(ids), dtype=np.int32)[:, None], 0)
+
+    def bounds(self, depth: int, plus: np.ndarray, minus: np.ndarray):
+        """Upper and lower bounds (vector x query) of scores after `depth` entries of each list, read from its end for a positive weight and
+        from its start for a negative one: what was read, and for the rest the value at the frontier or at the far end."""
+        n = len(self.ids)
+        late, early = (self.rank >= n - depth).astype(np.float32), (self.rank < depth).astype(np.float32)
+        x = self.vectors.astype(np.float32)
+        known = np.hstack([x * late, x * early, late, early])
+
+        def bound(high, low):
+            unread_p, unread_m = plus * high, minus * low
+            weights = np.hstack([plus, minus, -unread_p, -unread_m]).astype(np.float32)
+            return known @ weights.T + (unread_p.sum(1) + unread_m.sum(1))
+
+        return bound(self.ends[n - depth], self.ends[depth - 1]), bound(self.ends[0], self.ends[-1])
+
+    def top(self, owns, queries: np.ndarray, k: int):
+        """Per query the k best (score, id) other than the query's own id, ties to the smaller id."""
         n, width = self.vectors.shape
-        query = query[:width] if len(query) >= width else np.pad(query, (0, width - len(query)))
-        dims = np.flatnonzero(query)
-        allowed = self.ids != own
-        if n == 0 or not allowed.any():
-            return []
-        k = min(k, int(allowed.sum()))
-        weight, up = query[dims].astype(float), query[dims] > 0
-        lists = np.where(up[:, None], self.order[dims, ::-1], self.order[dims])
-        gains = np.where(up[:, None], self.values[dims, ::-1], self.values[dims]) * weight[:, None]
-        worst = gains[:, -1] if len(dims) else np.zeros(0)
-        read, seen = np.zeros(n), np.zeros((n, len(dims)), np.float32)
-        rest = np.flatnonzero(allowed)
-        depth, step = 0, max(64, n // 16)
-        while len(dims) and depth < n:
-            part = slice(depth, min(n, depth + step))
-            at = lists[:, part]
-            read += np.bincount(at.ravel(), gains[:, part].ravel(), n)
-            seen[at, np.arange(len(dims))[:, None]] = 1
-            depth, step = part.stop, step * 2
-            frontier = gains[:, depth - 1]
-            known = seen @ np.stack([frontier, worst], 1).astype(np.float32)
-            slack = 0.5 + 1e-5 * (np.abs(frontier).sum() + np.abs(worst).sum())
-            upper, lower = read + (frontier.sum() - known[:, 0]), read + (worst.sum() - known[:, 1])
-            floor = np.partition(lower[allowed], -k)[-k]
-            rest = np.flatnonzero(allowed & (upper >= floor - 2 * slack))
-            if len(rest) <= max(4 * k, n // 8):
-                break
-        score = self.vectors[rest] @ query
-        best = np.lexsort((self.ids[rest], -score))[:k]
-        return [(int(score[i]), int(self.ids[rest[i]])) for i in best]
+        queries = np.pad(queries, ((0, 0), (0, max(0, width - queries.shape[1]))))[:, :width]
+        rest = [np.flatnonzero(self.ids != own) for own in owns]
+        if n == 0 or width == 0:
+            return [[(0, int(i)) for i in sorted(self.ids[r].tolist())[:k]] for r in rest]
+        # Single precision may be off by this much; the scores that decide are exact.
+        slack = 1 + 4e-5 * (np.abs(queries) * np.abs(self.ends).max(0)).sum(1)
+        live = np.arange(len(owns))
+        for part in DEPTHS:
+            depth = int(n * part)
+            if depth == 0 or not len(live):
+                continue
+            q = queries[live]
+            upper, lower = self.bounds(depth, np.maximum(q, 0), np.minimum(q, 0))
+            on = []
+            for column, j in enumerate(live.tolist()):
+                allowed = rest[j] if len(rest[j]) < n - 1 else np.flatnonzero(self.ids != owns[j])
+                if len(allowed) <= k:
+                    continue
+                floor = np.partition(lower[allowed, column], -k)[-k]
+                rest[j] = allowed[upper[allowed, column] >= floor - 2 * slack[j]]
+                if len(rest[j]) > max(4 * k, n // 8):
+                    on.append(j)
+            live = np.array(on, int)
+        out = []
+        for j in range(len(owns)):
+            score = self.vectors[rest[j]] @ queries[j]
+            best = np.lexsort((self.ids[rest[j]], -score))[:k]
+            out.append([(int(score[i]), int(self.ids[rest[j][i]])) for i in best])
+        return out
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
@@ -103,7 +121,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK
                 q_ids, q_qs, ids, qs = (batch.column(c)[i].as_py() for c in ("q_ids", "q_qs", "ids", "qs"))
                 q_ids, q_rows = matrix(q_ids, q_qs)
                 own = Block(*matrix(ids, qs))
-                found = [(q, v, s) for q, row in zip(q_ids.tolist(), q_rows) for s, v in own.top(q, row, k)]
+                found = [(q, v, s) for q, best in zip(q_ids.tolist(), own.top(q_ids.tolist(), q_rows, k)) for s, v in best]
                 yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], pa.int64()) for j in range(3)], schema=schema)
 
     found = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
