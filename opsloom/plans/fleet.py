@@ -65,7 +65,8 @@ def rolling_score_stats(scores: DataFrame, lookback_days=ANOMALY_LOOKBACK_DAYS)
 
     Spark evaluates a sliding frame of n rows in n steps per row. Growing frames cost
     one step, so the sums are differences of running sums, taken around the series
-    mean against cancellation. A series has one row per hour, which bounds the window.
+    mean against cancellation. A series has one row per hour, which bounds the window. Deviations below a
+    millionth of the series mean are rounding of the sums and count as 0; scores have two decimals.
     """
     rows = lookback_days * 24
     series = Window.partitionBy(*SERIES)

@@ -53,3 +53,22 @@ def test_lookup_broadcasts_only_below_the_bound(spark):
         assert inside.count() == beyond.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_distinct_counts_expand_only_reduced_lines(spark, stored):
+    df = costs.daily_costs(staging.cost_events(spark.read.parquet(f"{stored}/cost_events")))
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    expand = next(i for i, x in enumerate(lines) if "Expand" in x)
+    below = "\n".join(lines[expand:])
+    assert below.count("HashAggregate(keys=[team") >= 2 and "resource_id" in below
+
+
+def test_bytes_bound_a_broadcast(spark, monkeypatch):
+    from opsloom.operators import lookup
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 10)
+    left = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in plan(lookup_join(left, left.groupBy("k").agg(F.count(F.lit(1)).alias("n")), ["k"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
