@@ -113,6 +113,8 @@ def decided(rows: DataFrame, shared: str, whole: str):
     wholes = released(rows.groupBy(shared, whole).agg(
         F.count(F.lit(1)).alias("n"), F.max("wanted").alias("any"), *[F.first(c).alias(c) for c in ("doc", "hash", "place", "wanted")]))
     parts = wholes.groupBy(shared).agg(F.count(F.lit(1)).alias("k"), F.max((F.col("n") == 1) & F.col("wanted")).alias("any")).where("k > 1 AND any").select(shared)
+    # Written before it is joined: adaptive execution splits a hot key only where shuffles meet in the join.
+    parts = settled(parts)
     open_ = wholes.join(parts, shared, "left_semi").select("doc", "hash", "place", (F.col("wanted") & (F.col("n") == 1)).alias("wanted"))
     return _repeated(rows, wholes.where("n > 1 AND any").select(shared, whole)), released(open_)
 
@@ -140,7 +142,7 @@ def spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     windows = released(windows.select("doc", "hash", "place", "context", "block", "want").mapInArrow(_windows(width), BLOCK_TYPES))
     del cut, asked, still
     twice = windows.groupBy("shared", "whole").agg(F.count(F.lit(1)).alias("n"), F.max("wanted").alias("any")).where("n > 1 AND any").select("shared", "whole")
-    by_window = _repeated(windows, twice)
+    by_window = _repeated(windows, settled(twice))
 
     return by_context.union(by_block).union(by_window).select(
         "doc", "hash", F.expr(f"{AT} - ({HIGH})").alias("start"), F.expr(f"{AT} - ({LOW}) + {width}").alias("end"))
@@ -150,6 +152,7 @@ def _repeated_grams(texts: DataFrame, width: int) -> DataFrame:
     """The pivots whose gram occurs twice."""
     rows = settled(sampled(texts, width))
     grams = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    grams = settled(grams)
     return released(rows.join(grams, "gram", "left_semi"))
 
 

@@ -198,8 +198,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = components(fingerprint_edges(groups))
     rooted = groups.join(parts.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("label", "fp").alias("label"))
-    smallest = rooted.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "label").select("fp", "label", "component_id")
+    rooted = settled(rooted)
+    smallest = settled(rooted.groupBy("label").agg(F.min("least").alias("component_id")))
+    named = settled(rooted.join(smallest, "label").select("fp", "label", "component_id"))
     return made.join(named, "fp").select("doc_id", "fp", "component_id", "label", "text_hash")
 
 
