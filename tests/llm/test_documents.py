@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from opsloom.llm import bpe, components, exact_dedup, packing, repeats, simhash
+from opsloom.llm import bpe, components, exact_dedup, near_copies, packing, repeats, simhash
 
 DOC = "doc_id long, text string, source string, n_chars long, run int, gram string, item long"
 
@@ -104,6 +104,42 @@ def test_near_duplicates_equal_brute_force(spark, rows):
     assert kept.count() == len(set(label))
 
 
+def shingle_set(text):
+    w = text.lower().split()
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)}
+
+
+def test_the_stage_drops_all_near_copies_of_five_words(spark, rows):
+    import corpus_pipeline
+    r = random.Random(2)
+    more = []
+    for k in range(40):
+        words = ["".join(r.choice("klmnop") for _ in range(4)) for _ in range(300)]
+        more.append((1000 + 2 * k, " ".join(words)))
+        for at in r.sample(range(10, 290), 1 + k % 7):
+            words[at] = "other"
+        more.append((1001 + 2 * k, " ".join(words)))
+    base = [f"w{i}" for i in range(200)]
+    more += [(2000 + k, " ".join([*base[:k], "x" * k, *base[k + 1:]])) for k in range(5, 60)]
+    every = [*rows, *more]
+    texts = sorted({t or "" for _, t in every})
+    sets = [shingle_set(t) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    of = dict(zip(texts, label))
+    least = {}
+    for i, t in every:
+        g = of[t or ""]
+        least[g] = min(least.get(g, (True, 0, "")), (i is None, i or 0, t or ""))
+    out = corpus_pipeline.without_near_copies(spark, documents(spark, every), None)
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out.collect()) == sorted(x[:2] for x in least.values())
+    assert len(least) < len(every) - 80 and near_copies.without_near_copies(documents(spark, [])).count() == 0
+
+
 def test_fingerprint_by_definition():
     import xxhash
     text = "Be  be\x0bBE x É"
