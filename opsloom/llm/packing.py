@@ -27,7 +27,8 @@ PIECES = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\
 
 class ByteBpe:
     """Ids of a byte-level tokenizer file, in which ids stand in the order of merges. Texts that hold a control string of the
-    vocabulary are left to the tokenizer itself, the others go to a faster encoder over the same vocabulary."""
+    vocabulary are left to the tokenizer itself, the others go to a faster encoder (tiktoken) over the same vocabulary. Its pattern
+    backtracks on white space and refuses runs of about a million characters; the tokenizer takes those texts too."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -39,9 +40,12 @@ class ByteBpe:
         self.encoding = tiktoken.Encoding("bytes", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        if not any(s in text for s in self.special):
+            try:
+                return self.encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+            except ValueError:  # the pattern's stack is used up
+                pass
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 @lru_cache(maxsize=4)

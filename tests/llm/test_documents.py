@@ -247,6 +247,13 @@ def test_packing(spark, rows):
     assert got.sequence_id.nunique() <= -(-total // 2048) + 1
 
 
+def test_long_white_space_is_encoded():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, tok = packing.ByteBpe(path), Tokenizer.from_file(path)
+    for text in (" " * 1_000_000 + "x", "a" + "\n" * 1_200_000 + "b", "\u2003" * 12_000 + "é", "x" + " \t" * 9_000):
+        assert own.ids(text).tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_of_equal_and_small_items(spark):
     items = spark.range(3000).select(F.col("id").alias("item"), F.when(F.col("id") < 1000, 1025).when(F.col("id") < 2000, 1).otherwise(300).cast("long").alias("length"))
     got = packing.pack(items).join(items, "item").toPandas()
