@@ -61,8 +61,7 @@ def _steps(record, steps):
     for part, step in enumerate(steps):
         if step[0] == "row":
             _, order, role, text = step
-            out.append(F.array(_turn(part, F.coalesce(F.try_variant_get(record, "$." + order, "long"), F.lit(0).cast("long")),
-                                     _text(record, role), _text(record, text))))
+            out.append(F.array(_turn(part, F.try_variant_get(record, "$." + order, "long"), _text(record, role), _text(record, text))))
         elif step[0] == "one":
             _, role, path = step
             parts = [_text(record, p) for p in path.split("\n\n")]
@@ -77,7 +76,7 @@ def _steps(record, steps):
 def canonical_turns(records: DataFrame, record="record", key="conv_id") -> DataFrame:
     """Turns (conv_id, part, turn, role, text) of JSON records in any known layout.
 
-    Null texts and roles are empty; a null key stays null and forms one conversation. A record whose fingerprint is
+    Null texts and roles are empty; a null turn stays null; a null key stays null and forms one conversation. A record whose fingerprint is
     unknown, or that is no JSON object, becomes one turn of role "unknown" with the record as its text.
     """
     spark = records.sparkSession
@@ -118,7 +117,7 @@ def format_turn(role: str, text: str) -> str:
 def formatted(turns: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """Formatted text: rows (conv_id, chunk, text); a conversation's text is its chunks joined in order.
 
-    Turns are ordered by (turn, part, role, text); repeated rows are repeated turns. Chunks of a conversation stand
+    Turns are ordered by (turn, part, role, text), null turns last; repeated rows are repeated turns. Chunks of a conversation stand
     together and in order in one partition.
     """
     schema = pa.schema([("conv_id", pa.int64()), ("chunk", pa.int64()), ("text", pa.string())])
@@ -142,7 +141,7 @@ def formatted(turns: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
         if begun:
             yield pa.RecordBatch.from_pydict({"conv_id": [key], "chunk": [chunk], "text": ["".join(parts)]}, schema=schema)
 
-    return (turns.repartition(tasks(turns), "conv_id").sortWithinPartitions("conv_id", "turn", "part", "role", "text")
+    return (turns.repartition(tasks(turns), "conv_id").sortWithinPartitions("conv_id", F.asc_nulls_last("turn"), "part", "role", "text")
             .mapInArrow(write, "conv_id long, chunk long, text string"))
 
 

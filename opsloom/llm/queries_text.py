@@ -25,8 +25,13 @@ FROM t GROUP BY conv_id
 def chat_format(spark, folder):
     rows = table(spark, folder, "conversations").select("conv_id", "turn", F.col("role").cast("string").alias("role"), text_of().alias("text"))
     rows = rows.union(spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id long, turn int, role string, text string"))
-    records = rows.select("conv_id", F.to_json(F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), "text")).alias("record"))
-    return chat.digests(chat.formatted(chat.canonical_turns(records)))
+    return chat.digests(chat.formatted(chat.canonical_turns(turn_records(rows))))
+
+
+def turn_records(rows):
+    """JSON records (conv_id, record) of turns; null fields are written, since a record's layout is told by its fields."""
+    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), "text")
+    return rows.select("conv_id", F.to_json(turn, {"ignoreNullFields": "false"}).alias("record"))
 
 
 @query("op8_bpe")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opsloom.llm import chat, html_crf, topk, toxicity, warc
+from opsloom.llm import chat, html_crf, queries_text, topk, toxicity, warc
 from opsloom.llm.common import Kept
 
 TURNS = "conv_id long, part int, turn long, role string, text string"
@@ -40,6 +40,18 @@ LAYOUTS = {
 }
 
 
+def test_turns_with_nulls_keep_role_and_text(spark):
+    rows = [(1, None, "assistant", "said"), (1, 1, None, None), (1, 0, "user", None), (2, None, None, "x"), (None, None, "assistant", "y")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    got = [(r.conv_id, r.turn, r.role, r.text) for r in chat.canonical_turns(queries_text.turn_records(df)).collect()]
+    want = [(c, turn, role or "", text or "") for c, turn, role, text in rows]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    digests = {r.conv_id: r for r in chat.digests(chat.formatted(chat.canonical_turns(queries_text.turn_records(df)))).collect()}
+    assert (digests[1].n_turns, digests[1].loss_chars, digests[None].loss_chars) == (3, 4, 1)
+    # As in the query's SQL, null turns come last.
+    assert digests[1].turns_sha256 == hashlib.sha256(b"user\n\n\n\nassistant\nsaid\n").hexdigest()
+
+
 def test_layouts_become_turns(spark):
     df = spark.createDataFrame([(i, r, "x") for i, r in enumerate([*LAYOUTS, None])], "conv_id long, record string, text string")
     got = {}
