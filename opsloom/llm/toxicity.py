@@ -2,7 +2,7 @@
 
 A noisy channel turns words into look-alikes: letters become digits or signs, are repeated, or are set apart by spaces
 or signs. A word that shows such marks becomes a lattice of characters (what each sign may stand for, with the cost of
-that substitution; a run of one letter may be one, two or all of them; a sign between letters may be nothing), and a
+that substitution; a run of one letter may be one or two of them; what stands between single letters may be nothing or a space), and a
 Viterbi pass finds the path that a character trigram model of the corpus likes best. Plain words have one path, so they
 are left as they are. The model's counts come from all documents. The restored words are then scored.
 
@@ -33,16 +33,22 @@ LOOKALIKES = {
     "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "aeiou", "#": "h", "€": "e", "£": "l",
 }
 ALPHABET = " abcdefghijklmnopqrstuvwxyzßàáâäæçèéêëìíîïñòóôöœùúûüÿ"
-SUBSTITUTE, DROP, DROP_DIGIT, SHRINK, KEEP_SIGN, KEEP_SPACE = -1.0, -5.0, -9.0, -0.5, -9.0, -2.5
+SUBSTITUTE, DROP, DROP_DIGIT, SHRINK, KEEP_SIGN, KEEP_SPACE, KEEP_END, HALVE, HALVE_ALL = -1.0, -5.0, -9.0, -0.5, -9.0, -2.5, -4.0, -6.0, -1.0
 BELIEF = 3.0
 LETTER = "a-zß-öø-ÿœ"
 SIGN = re.escape("".join(LOOKALIKES))
 WORD = re.compile(f"[{LETTER}0-9]+")
-# A word with a look-alike sign next to a letter, a letter three times, or single letters set apart.
+BETWEEN = f"(?:[^\\w{SIGN}]|_)"
+# Single letters or signs set apart by anything else, or a word with a look-alike sign or the same letter twice. Both have letters.
 MARKED = re.compile(
-    f"(?<![{LETTER}{SIGN}])(?:[{LETTER}](?:[ .\\-_]{{1,2}}[{LETTER}{SIGN}]){{3,}}(?![{LETTER}])"
-    f"|(?=[{LETTER}{SIGN}]*[{LETTER}])(?=[{LETTER}]*[{SIGN}]|[{LETTER}]*([{LETTER}])\\1\\1)[{LETTER}{SIGN}]{{2,39}}[{LETTER}0-9@$€£])")
-APART = " .-_"
+    f"(?<![{LETTER}{SIGN}])(?:[{LETTER}{SIGN}](?:{BETWEEN}+[{LETTER}{SIGN}]){{2,}}(?![{LETTER}{SIGN}])"
+    f"|(?=[{SIGN}]*[{LETTER}])(?=[{LETTER}]*[{SIGN}]|[{LETTER}]*([{LETTER}])\\1)[{LETTER}{SIGN}]{{3,}})")
+RUN = re.compile(r"(.)\1*", re.S)
+HAS_LETTER = re.compile(f"[{LETTER}]")
+# Signs that also end plain words.
+ENDS = "!|+(*#"
+# Longer words are not remembered.
+SHORT = 64
 
 
 def code_of():
@@ -86,34 +92,37 @@ class CharModel:
 
     def lattice(self, word: str):
         """Per position the choices (letters, cost); letters may be empty or two."""
+        runs = [len(m[0]) for m in RUN.finditer(word)]
+        halve = HALVE_ALL if 2 * sum(n > 1 for n in runs) > len(runs) else HALVE
         out, i = [], 0
         while i < len(word):
             c, n = word[i], 1
             while i + n < len(word) and word[i + n] == c:
                 n += 1
             i += n
-            if c in APART:
+            if c not in LOOKALIKES and c not in self.number or c == " ":
+                while i < len(word) and (word[i] == " " or word[i] not in LOOKALIKES and word[i] not in self.number):
+                    i += 1
                 out.append([("", 0.0), (" ", KEEP_SPACE)])
             elif c in LOOKALIKES:
                 once = [(x, SUBSTITUTE + SHRINK * 3 * (n > 1)) for x in LOOKALIKES[c]]
                 twice = [(x + x, 2 * SUBSTITUTE) for x in LOOKALIKES[c]] if n > 1 else []
-                out.append([*once, *twice, ("", DROP_DIGIT if c.isdigit() else DROP), (" ", KEEP_SIGN)])
-            elif c not in self.number:
-                out.append([("", DROP)])
+                ends = i == len(word) and c in ENDS
+                out.append([*once, *twice, ("", DROP_DIGIT if c.isdigit() else DROP), (" ", KEEP_END if ends else KEEP_SIGN)])
             elif n == 1:
                 out.append([(c, 0.0)])
             elif n == 2:
-                out.append([(c + c, 0.0), (c, DROP_DIGIT)])
+                out.append([(c + c, 0.0), (c, halve)])
             else:
                 out.append([(c, SHRINK), (c + c, SHRINK)])
         return out
 
     def _restore(self, word: str) -> str:
         """The most likely plain word behind a marked one."""
-        paths = {(0, 0): (0.0, "")}
+        paths = {(0, 0): (0.0, None)}
         for choices in self.lattice(word):
             after = {}
-            for (a, b), (score, text) in paths.items():
+            for (a, b), (score, behind) in paths.items():
                 for letters, cost in choices:
                     x, y, s = a, b, score + cost
                     for ch in letters:
@@ -121,9 +130,13 @@ class CharModel:
                         s += self.log[x][y][z]
                         x, y = y, z
                     if (x, y) not in after or s > after[x, y][0]:
-                        after[x, y] = (s, text + letters)
+                        after[x, y] = (s, (behind, letters))
             paths = after
-        return max(((s + self.log[a][b][0], t) for (a, b), (s, t) in paths.items()))[1]
+        behind, out = max((s + self.log[a][b][0], n, b_) for n, ((a, b), (s, b_)) in enumerate(paths.items()))[2], []
+        while behind:
+            behind, letters = behind
+            out.append(letters)
+        return "".join(reversed(out))
 
     def words(self, text: str):
         """Different words of the restored text."""
@@ -131,7 +144,11 @@ class CharModel:
 
     def deobfuscated(self, text: str) -> str:
         """Lower-cased text with marked words restored."""
-        return MARKED.sub(lambda m: self.restore(m[0]), text.lower())
+        def plain(m):
+            word = m[0]
+            return word if not HAS_LETTER.search(word) else self.restore(word) if len(word) <= SHORT else self._restore(word)
+
+        return MARKED.sub(plain, text.lower())
 
 
 def features_of(word: str):

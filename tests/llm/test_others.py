@@ -211,6 +211,23 @@ def test_restored_words(spark):
     assert model.deobfuscated("The end of it, 1999!") == "the end of it, 1999!"
 
 
+FORMS = {
+    "1 d 1 0 t": "idiot", "$ c u m": "scum", "$.c.u.m": "scum", "s,c,u,m": "scum", "s/c/u/m": "scum", "s\tc\tu\tm": "scum", "s / c / u / m": "scum",
+    "s   c   u   m": "scum", "s u m": "sum", "iidiioott": "idiot", "ssccuumm": "scum", "mmoorroonn": "moron", "lloosseerr": "loser", "1d10+": "idiot",
+    "tras#": "trash", "mor0n!": "moron", "5c" + "u" * 45 + "m": "scum", "moron!": "moron", "@ s s": "ass",
+}
+
+
+def test_every_marked_form_reaches_the_decoder(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.CharModel(toxicity.char_counts(docs))
+    assert {marked: model.deobfuscated(marked).strip() for marked in FORMS} == FORMS
+    for plain in ("the end, of it 1999", "1 2 3 4", "a b"):
+        assert model.deobfuscated(plain) == plain
+    long = "a1b2" * 50_000
+    assert len(model.deobfuscated(long)) > 50_000 and model.deobfuscated("x" * 200_000 + " m0r0n").endswith("moron")
+
+
 def test_edges_of_scores(spark):
     docs = spark.createDataFrame([(1, None, 1.0), (1, None, 1.0), (2, "", 1.0), (None, "x1x " * 9, 1.0), (3, "\ud7ff😀 " * 3, 1.0)], "doc_id long, text string, score double")
     labels = spark.createDataFrame([(1, 1, 1), (None, 0, 1), (9, None, None)], "doc_id long, quality int, toxic int")
