@@ -26,6 +26,10 @@ CANDIDATES = 2_000
 TOGETHER = 200_000
 LEAST = 5
 THRESHOLD = 0.7
+SLOTS = 64
+COPY = 0.8
+# An odd multiplier per slot.
+ODD = np.array([xxhash.xxh64_intdigest(b"%d" % i, 1) | 1 for i in range(SLOTS)], np.uint64)
 SYMBOLS = 64
 # Signs and the letters they are drawn like.
 LOOKALIKES = {
@@ -161,25 +165,30 @@ def features(words):
 
 
 def sketch(text: str):
-    """Four smallest hashes of word pairs, for telling near copies in the sample."""
+    """SLOTS min-hashes of word pairs, for telling near copies in the sample."""
     words = text.split()
-    hashes = {xxhash.xxh64_intdigest(f"{a} {b}") for a, b in zip(words, words[1:])} or {xxhash.xxh64_intdigest(text)}
-    return [min(hashes, key=lambda h, m=m: h * m & 0xFFFFFFFFFFFFFFFF) >> 1 for m in (1, 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
+    hashes = np.array(list({xxhash.xxh64_intdigest(f"{a} {b}") for a, b in zip(words, words[1:])} or {xxhash.xxh64_intdigest(text)}), np.uint64)
+    least = np.full(SLOTS, np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(hashes), 4096):
+        least = np.minimum(least, (hashes[start:start + 4096, None] * ODD).min(0))
+    return least.view(np.int64).tolist()
 
 
 def copies(sketches) -> list:
-    """Group number of each sketch; groups share a hash."""
-    group, owner = list(range(len(sketches))), {}
-
-    def top(i):
-        while group[i] != i:
-            i = group[i]
-        return i
-
-    for i, hashes in enumerate(sketches):
-        for slot in enumerate(hashes):
-            group[top(i)] = top(owner.setdefault(slot, i))
-    return [top(i) for i in range(len(group))]
+    """Group number of each sketch. A group is one sketch and those that agree with it, not merely with one another, in at
+    least COPY of their slots, which is the share of common word pairs that they estimate."""
+    own = np.array(sketches, np.int64).reshape(len(sketches), SLOTS)
+    group, heads = np.zeros(len(own), np.int64), np.zeros_like(own)
+    n = 0
+    for i in sorted(range(len(own)), key=lambda i: sketches[i]):
+        same = (heads[:n] == own[i]).sum(1)
+        best = int(same.argmax()) if n else 0
+        if n and same[best] >= COPY * SLOTS:
+            group[i] = best
+        else:
+            heads[n], group[i] = own[i], n
+            n += 1
+    return group.tolist()
 
 
 def fitted(x: np.ndarray, y: np.ndarray):

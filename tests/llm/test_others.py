@@ -228,6 +228,16 @@ def test_every_marked_form_reaches_the_decoder(spark):
     assert len(model.deobfuscated(long)) > 50_000 and model.deobfuscated("x" * 200_000 + " m0r0n").endswith("moron")
 
 
+def test_only_copies_vote_once():
+    r = random.Random(4)
+    # Unrelated long texts that share a few frequent word pairs, and copies with a changed word.
+    texts = [" ".join(r.choice(["of the", "in a", "to be"]) if r.random() < 0.05 else str(r.randint(0, 10**6)) for _ in range(800)) for _ in range(60)]
+    copied = [texts[0].replace(texts[0].split()[k], "other") for k in range(10, 20)]
+    group = toxicity.copies([toxicity.sketch(t) for t in [*texts, *copied, "", ""]])
+    assert len(set(group[:60])) == 60 and set(group[60:70]) == {group[0]} and group[70] == group[71] and len(set(group)) == 61
+    assert toxicity.copies([]) == []
+
+
 def test_edges_of_scores(spark):
     docs = spark.createDataFrame([(1, None, 1.0), (1, None, 1.0), (2, "", 1.0), (None, "x1x " * 9, 1.0), (3, "\ud7ff😀 " * 3, 1.0)], "doc_id long, text string, score double")
     labels = spark.createDataFrame([(1, 1, 1), (None, 0, 1), (9, None, None)], "doc_id long, quality int, toxic int")
