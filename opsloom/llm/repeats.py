@@ -1,17 +1,16 @@
-"""Removal of long repeated byte strings, by sampled suffixes.
+"""Removal of long repeated byte strings, by anchored window hashing.
 
-Sorting all suffixes of a corpus moves every byte several times. Here, as in the difference-cover method, only a sample of the
-positions is sorted and named, and every other suffix is reached through the sample; but the cover is chosen by content: a
-window of WIDTH bytes is decided by its pivot, the place in it whose GRAM-byte hash is least. Equal windows have their pivot at
+Sorting all suffixes of a corpus moves every byte several times. This is not the difference-cover method: nothing is ranked, sorted
+as a suffix or merged. Windows are grouped by hash, and only a sample of positions, chosen by content, is named: a window of WIDTH bytes is decided by its pivot, the place in it whose GRAM-byte hash is least. Equal windows have their pivot at
 the same place, and a pivot decides one run of windows, so the sample is about a sixtieth of the positions.
 
 1. Sample: each pivot with the bytes before and after it that its windows reach (its context) is named. Pivots whose
    gram occurs once cannot take part in a repeat and are left out. Contexts that occur twice are repeated whole.
-2. Recursion on names: a context that is alone, though its gram is not, is cut into blocks of BLOCK windows. Each has two names,
+2. Blocks: a context that is alone, though its gram is not, is cut into blocks of BLOCK windows. Each has two names,
    of the bytes that all its windows share and of the bytes that they reach. A block whose shared part occurs once is done with,
    one that is repeated whole is repeated.
-3. The rest is merged window by window: a window's key is its place relative to the pivot and its name; neighbours in this
-   order that are equal share WIDTH bytes, so both are repeats.
+3. The rest is counted window by window: a window's key is its place relative to the pivot and its name; windows with
+   equal keys share WIDTH bytes, so both are repeats.
 
 Groups are formed on (gram, name), never on the gram alone, and are counted before they are shuffled, so a passage
 that fills a third of the rows is one entry per task.
