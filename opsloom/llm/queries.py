@@ -13,5 +13,5 @@ def query(name, sql=None):
     return keep
 
 
-for part in ("dedup", "text", "vectors", "web"):
+for part in ("dedup", "manifest", "text", "vectors", "web"):
     importlib.import_module(f"opsloom.llm.queries_{part}")
