@@ -2,7 +2,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from opsloom.llm import bpe, chat, packing, toxicity
+from opsloom.llm import alignment, bpe, chat, packing, pieces, toxicity
 from opsloom.llm.common import table, text_of
 from opsloom.llm.queries import query
 
@@ -44,6 +44,16 @@ def pack(spark, folder):
     return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op11_piece_encoding")
+def encode_pieces(spark, folder):
+    return pieces.encode_digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_token_alignment")
+def align(spark, folder):
+    return alignment.alignment_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op1_toxicity")
 def toxic(spark, folder):
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("text_hash")
