@@ -434,6 +434,44 @@ def m02c(t):
     return semantic.metric_query(marts.health(t), "total_daily_cost_usd", "day", ("squad",))
 
 
+SQUAD_DAY = "(SELECT report_date, squad, max(daily_cost_usd) AS c FROM health WHERE environment = 'prod' GROUP BY 1, 2)"
+
+
+@query("M02_cost_three_ways", oracle(
+    f"""SELECT 'query' AS way, 'month' AS grain, CAST(date_trunc('month', report_date) AS DATE) AS period, sum(c) AS cost FROM {SQUAD_DAY} GROUP BY 3
+        UNION ALL SELECT 'grains', 'month', CAST(date_trunc('month', report_date) AS DATE), sum(c) FROM {SQUAD_DAY} GROUP BY 3
+        UNION ALL SELECT 'grains', 'year', CAST(date_trunc('year', report_date) AS DATE), sum(c) FROM {SQUAD_DAY} GROUP BY 3
+        UNION ALL SELECT 'kpi', 'current', NULL, sum(c) FROM {SQUAD_DAY} WHERE report_date >= DATE '2024-01-16' AND report_date < DATE '2024-01-31'
+        UNION ALL SELECT 'kpi', 'previous', NULL, sum(c) FROM {SQUAD_DAY} WHERE report_date >= DATE '2024-01-01' AND report_date < DATE '2024-01-16'""",
+    *HEALTH, d="period", f="cost"))
+def m02w(t):
+    """Cost by query, by several grains and as a KPI: every way counts a squad and day once."""
+    health, only = marts.health(t), {"environment": "prod"}
+    cost = F.col(semantic.COST).cast("double").alias("cost")
+    by_query = semantic.metric_query(health, semantic.COST, "month", (), only)
+    by_grains = semantic.metric_by_grains(health, semantic.COST, ("month", "year"), (), only)
+    kpi = semantic.kpi_value(health, semantic.COST, EVENTS_AS_OF, 15, only)
+    none = F.lit(None).cast("date").alias("period")
+    return (
+        by_query.select(F.lit("query").alias("way"), F.lit("month").alias("grain"), "period", cost)
+        .union(by_grains.select(F.lit("grains"), "grain", "period", cost))
+        .union(kpi.select(F.lit("kpi"), F.lit("current"), none, "value"))
+        .union(kpi.select(F.lit("kpi"), F.lit("previous"), none, "previous_value"))
+    )
+
+
+@query("M03_cost_beside_counts", oracle(
+    f"""WITH a AS (SELECT g.grain, CAST(date_trunc(g.grain, report_date) AS DATE) AS period, squad, sum(deploy_count) AS total_deploys
+            FROM health, (VALUES ('month'), ('year')) AS g(grain) GROUP BY 1, 2, 3),
+        b AS (SELECT g.grain, CAST(date_trunc(g.grain, report_date) AS DATE) AS period, squad, sum(c) AS total_daily_cost_usd
+            FROM (SELECT report_date, squad, max(daily_cost_usd) AS c FROM health GROUP BY 1, 2), (VALUES ('month'), ('year')) AS g(grain) GROUP BY 1, 2, 3)
+        SELECT a.*, b.total_daily_cost_usd FROM a JOIN b ON a.grain = b.grain AND a.period = b.period AND a.squad IS NOT DISTINCT FROM b.squad""",
+    *HEALTH, d="period", f="total_daily_cost_usd", i="total_deploys"))
+def m03c(t):
+    """An additive and a semi-additive metric in one query."""
+    return semantic.metric_by_grains(marts.health(t), ["total_deploys", semantic.COST], ("month", "year"), ("squad",))
+
+
 @query("M02_anomaly_dimensions", oracle(
     """SELECT CASE WHEN deployment_frequency >= 1 AND change_failure_rate <= 0.05 AND mean_time_to_recovery_mins <= 60 THEN 'Elite'
          WHEN deployment_frequency >= 1/7.0 AND change_failure_rate <= 0.10 AND mean_time_to_recovery_mins <= 1440 THEN 'High'

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opsloom.functions import micros
 from opsloom.operators.ordered import running_totals
-from opsloom.session import settled
 
 START, POINT, END = 0, 1, 2  # order of rows with the same time
 TOP_LEVEL = 14  # runs of 4^14 moments; longer ranges use several of them
@@ -38,8 +37,19 @@ def _points(points: DataFrame, at, same=()) -> DataFrame:
     return points.dropna(subset=[at, *same]).withColumn("_us", micros(at))
 
 
-def _on_line(line: DataFrame, keys, same, columns) -> DataFrame:
-    return running_totals(line, same, ["_us", "_kind", *[f"_k{i}" for i in range(len(keys))]], columns)
+def _on_line(line: DataFrame, same, columns, sample: DataFrame, ties=()) -> DataFrame:
+    """Running sums along the line. Rows of one moment are told apart by `_salt`, so that a moment with very many bounds is cut as well."""
+    return running_totals(line, same, ["_us", "_kind", "_salt"], columns, sample=sample, ties=ties)
+
+
+def _salted(rows: DataFrame, columns) -> DataFrame:
+    return rows.withColumn("_salt", F.xxhash64(*columns) if columns else F.lit(0).cast("bigint"))
+
+
+def _places(bounds: DataFrame, points: DataFrame, same) -> DataFrame:
+    """What splitters are sampled from: bounds and points before any of them are merged, so that sampling shuffles nothing."""
+    spread = F.expr("CAST(rand(5) * 9.0e18 AS BIGINT)").alias("_salt")
+    return bounds.select(*same, "_us", "_kind", "_salt").unionByName(points.select(*same, "_us", F.lit(POINT).alias("_kind"), spread))
 
 
 def _difference(c) -> Column:
@@ -58,13 +68,14 @@ def interval_sums(intervals: DataFrame, points: DataFrame, keys, start, end, at,
     `measures` maps names to integer columns of the points; points of the same moment are
     added up before they are sorted. Every interval with proper bounds is returned.
     """
-    same = [p for _, p in match]
-    moments = _points(points, at, same).groupBy(*same, "_us").agg(
+    same, key_columns = [p for _, p in match], [f"_k{i}" for i in range(len(keys))]
+    raw = _points(points, at, same)
+    moments = raw.groupBy(*same, "_us").agg(
         *[F.sum(c).cast("bigint").alias(n) for n, c in measures.items()]).withColumn("_kind", F.lit(POINT))
-    bounds = _bounds(intervals, keys, start, end, before, after, match)
-    line = _union(bounds, moments).fillna(0, list(measures))
+    bounds = _salted(_bounds(intervals, keys, start, end, before, after, match), key_columns)
+    line = _union(bounds, _salted(moments, [])).fillna(0, list(measures))
     return (
-        _on_line(line, keys, same, list(measures)).where(F.col("_kind") != POINT)
+        _on_line(line, same, list(measures), _places(bounds, raw, same)).where(F.col("_kind") != POINT)
         .groupBy(*_restored(keys)).agg(*[_difference(n).alias(n) for n in measures])
     )
 
@@ -90,49 +101,67 @@ def _block_list(lo: str, hi: str, top: int) -> Column:
             x -> struct(l AS level, x AS block))))""")
 
 
-def interval_counts(intervals: DataFrame, points: DataFrame, keys, start, end, at, groups,
-                    before=0, after=0, match=(), top=TOP_LEVEL) -> DataFrame:
-    """(keys, groups, n): points of each group inside [start - before, end + after], n > 0.
+class Overlaps:
+    """One line of time for everything about groups of points inside intervals.
 
-    For groups that are not known beforehand. The line of time numbers the moments, so
-    an interval becomes a range of numbers, which is the disjoint union of a few
-    aligned blocks. Points are counted per (block, group) once, and an equality join on
-    blocks adds those counts up.
+    Every point is numbered along the line, so an interval is a range of numbers; the same pass counts the intervals that are open at a
+    point. All results read the same exchange.
     """
-    same = [p for _, p in match]
-    moments = settled(_points(points, at, same).groupBy(*same, "_us", *groups).agg(F.count(F.lit(1)).alias("_n")))
-    times = moments.select(*same, "_us").distinct().select(
-        "*", F.lit(POINT).alias("_kind"), F.lit(1).cast("bigint").alias("_rank"))
-    bounds = _bounds(intervals, keys, start, end, before, after, match).withColumn("_rank", F.lit(0).cast("bigint"))
-    ranked = settled(_on_line(_union(bounds, times), keys, same, ["_rank"]))
-
-    numbered = moments.join(
-        ranked.where(F.col("_kind") == POINT).select(*same, "_us", (F.col("_rank") - 1).alias("_no")), [*same, "_us"])
-    counted = (
-        numbered.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top))))
-        .groupBy("level", F.expr("shiftright(_no, 2 * level)").alias("block"), *same, *groups).agg(F.sum("_n").alias("_n"))
-    )
-    key_columns = [f"_k{i}" for i in range(len(keys))]
-    ranges = ranked.where(F.col("_kind") != POINT).groupBy(*key_columns, *same).agg(
-        F.max(F.when(F.col("_kind") == START, F.col("_rank"))).alias("_lo"),
-        F.max(F.when(F.col("_kind") == END, F.col("_rank"))).alias("_hi"),
-    ).where("_lo < _hi")
-    pieces = ranges.withColumn("_b", F.explode(_block_list("_lo", "_hi", top))).select(
-        *key_columns, *same, "_b.level", "_b.block")
-    return (
-        pieces.join(counted, ["level", "block", *same])
-        .groupBy(*_restored(keys), *groups).agg(F.sum("_n").alias("n"))
-    )
+
+    def __init__(self, intervals: DataFrame, points: DataFrame, keys, start, end, at, groups, before=0, after=0, match=(),
+                 ids: str | None = None):
+        self.keys, self.groups, self.same = list(keys), list(groups), [p for _, p in match]
+        self.key_columns = [f"_k{i}" for i in range(len(keys))]
+        self.ids = [] if ids is None else [ids]
+        raw = _points(points, at, self.same)
+        # Points of one moment are spread by what tells them apart.
+        marks = _salted(raw, self.ids or points.columns).select(*self.same, "_us", "_salt", *self.groups, *self.ids)
+        marks = marks.withColumns({"_kind": F.lit(POINT), "_rank": F.lit(1).cast("bigint"), "_open": F.lit(0).cast("bigint")})
+        bounds = _salted(_bounds(intervals, keys, start, end, before, after, match), self.key_columns)
+        steps = bounds.withColumns({
+            "_rank": F.lit(0).cast("bigint"), "_open": F.when(F.col("_kind") == START, 1).otherwise(-1).cast("bigint")})
+        self.line = _on_line(_union(steps, marks), self.same, ["_rank", "_open"], _union(bounds, marks), [*self.key_columns, *self.groups, *self.ids])
+
+    def covered(self) -> DataFrame:
+        """Points (match columns, groups, ids) at which an interval is open."""
+        return self.line.where((F.col("_kind") == POINT) & (F.col("_open") > 0)).select(*self.same, *self.groups, *self.ids)
+
+    def counts(self, top=TOP_LEVEL) -> DataFrame:
+        """(keys, groups, n): points of each group inside an interval, n > 0. The range of numbers of an interval is the disjoint union
+        of a few aligned blocks; points are counted per (block, group) once, and an equality join on blocks adds up."""
+        same, groups, key_columns = self.same, self.groups, self.key_columns
+        counted = (
+            self.line.where(F.col("_kind") == POINT).select(*same, *groups, (F.col("_rank") - 1).alias("_no"))
+            .withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(top))))
+            .groupBy("level", F.expr("shiftright(_no, 2 * level)").alias("block"), *same, *groups).agg(F.count(F.lit(1)).alias("_n"))
+        )
+        ranges = self.line.where(F.col("_kind") != POINT).groupBy(*key_columns, *same).agg(
+            F.max(F.when(F.col("_kind") == START, F.col("_rank"))).alias("_lo"),
+            F.max(F.when(F.col("_kind") == END, F.col("_rank"))).alias("_hi"),
+        ).where("_lo < _hi")
+        pieces = ranges.withColumn("_b", F.explode(_block_list("_lo", "_hi", top))).select(
+            *key_columns, *same, "_b.level", "_b.block")
+        return (
+            pieces.join(counted, ["level", "block", *same])
+            .groupBy(*_restored(self.keys), *groups).agg(F.sum("_n").alias("n"))
+        )
+
+
+def interval_counts(intervals: DataFrame, points: DataFrame, keys, start, end, at, groups,
+                    before=0, after=0, match=(), top=TOP_LEVEL) -> DataFrame:
+    """(keys, groups, n): points of each group inside [start - before, end + after], n > 0, for groups that are not known beforehand."""
+    return Overlaps(intervals, points, keys, start, end, at, groups, before, after, match).counts(top)
 
 
 def covered_points(points: DataFrame, intervals: DataFrame, start, end, at, before=0, after=0, match=()) -> DataFrame:
     """Points that lie in at least one interval: those at which an interval is open."""
     same = [p for _, p in match]
+    raw = _points(points, at, same)
     # Equal bounds are merged, and each one adds or ends that many intervals.
     bounds = _bounds(intervals, [], start, end, before, after, match).groupBy(*same, "_us", "_kind").agg(
         F.count(F.lit(1)).alias("_n"))
     steps = bounds.select(*same, "_us", "_kind", F.when(F.col("_kind") == START, F.col("_n")).otherwise(-F.col("_n")).alias("_open"))
-    times = _points(points, at, same).select(*same, "_us").distinct().select(
-        "*", F.lit(POINT).alias("_kind"), F.lit(0).cast("bigint").alias("_open"))
-    inside = _on_line(_union(steps, times), [], same, ["_open"]).where((F.col("_kind") == POINT) & (F.col("_open") > 0))
-    return _points(points, at, same).join(inside.select(*same, "_us"), [*same, "_us"], "left_semi").drop("_us")
+    times = raw.select(*same, "_us").distinct().select("*", F.lit(POINT).alias("_kind"), F.lit(0).cast("bigint").alias("_open"))
+    places = _places(_salted(_bounds(intervals, [], start, end, before, after, match), []), raw, same)
+    inside = _on_line(_salted(_union(steps, times), []), same, ["_open"], places).where((F.col("_kind") == POINT) & (F.col("_open") > 0))
+    return raw.join(inside.select(*same, "_us"), [*same, "_us"], "left_semi").drop("_us")

@@ -14,7 +14,10 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how="left") -> DataF
         *[F.col(c) for c in right.columns if c not in keys],
     )
     on = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
-    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+    joined = left.withColumn("_left", F.lit(True)).join(renamed, on, how) if how == "full" else left.join(renamed, on, how)
+    if how == "full":  # a key that only the right side has
+        joined = joined.withColumns({k: F.when(F.col("_left"), F.col(k)).otherwise(F.col(f"_r_{k}")) for k in keys}).drop("_left")
+    return joined.drop(*[f"_r_{k}" for k in keys])
 
 
 def lookup_join(left: DataFrame, small: DataFrame, keys, how="left", max_rows=BROADCAST_ROWS,

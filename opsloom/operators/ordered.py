@@ -17,29 +17,52 @@ from opsloom.session import settled
 BLOCK = 65_536
 
 
+SAMPLE = 64
+
+
+def splitters(df: DataFrame, order_by, ranges: int) -> list:
+    """Up to `ranges` - 1 rows of the sort columns that cut df into ranges of similar size, from one sample of fixed size. Any
+    splitters give right results; a poor sample only makes ranges uneven."""
+    if ranges < 2:
+        return []
+    taken = df.select(*order_by).withColumn("_at", F.rand(11)).orderBy("_at").limit(SAMPLE * ranges).drop("_at")
+    rows = taken.orderBy(*order_by).collect()
+    cuts = [rows[len(rows) * i // ranges] for i in range(1, ranges)] if rows else []
+    return [row for i, row in enumerate(cuts) if i == 0 or row != cuts[i - 1]]
+
+
+def range_of(cuts: list, types) -> F.Column:
+    """Number of the range of a row: how many splitters are not behind it, by binary search in a tree of comparisons."""
+    row = F.struct(*[F.col(f.name) for f in types])
+
+    def literal(cut):
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, types)])
+
+    def tree(low, high):
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(row < literal(cuts[middle]), tree(low, middle)).otherwise(tree(middle + 1, high))
+
+    return tree(0, len(cuts))
+
+
+def with_range(df: DataFrame, order_by, sample: DataFrame | None = None):
+    """(df with `_range`, number of ranges): the range ascends with the sort columns. The splitters are literals of the plan, so every
+    use agrees on them. `sample` stands for df where it is cheaper to evaluate and spread alike."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order_by = list(order_by)
+    cuts = splitters(df if sample is None else sample, order_by, wanted)
+    return df.withColumn("_range", range_of(cuts, [df.select(c).schema[0] for c in order_by])), len(cuts) + 1
+
+
 def positions(df: DataFrame, keys, order_by, name="pos") -> DataFrame:
     """Add the 0-based position of each row within its key.
 
-    `order_by` must order the rows of a key totally. The sorted rows are written once,
-    because the partition bounds come from a sample and both uses of them must agree.
+    `order_by` must order the rows of a key totally.
     """
-    sort = [*keys, *order_by]
-    ranged = settled(
-        df.repartitionByRange(*sort).sortWithinPartitions(*sort)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_row", 33))
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = (
-        ranged.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .drop("_n")
-    )
-    return (
-        lookup_join(ranged, runs, [*keys, "_part"], null_safe=True)
-        .withColumn(name, F.col("_row") - F.col("_first") + F.col("_before"))
-        .drop("_row", "_part", "_first", "_before")
-    )
+    numbered = running_totals(df.withColumn(name, F.lit(1).cast("bigint")), keys, order_by, [name])
+    return numbered.withColumn(name, F.col(name) - 1)
 
 
 def blocks(df: DataFrame, history: int, pos="pos", size=BLOCK) -> DataFrame:
@@ -77,28 +100,38 @@ def rolling_stats(df: DataFrame, keys, value, rows: int, pos="pos", size=BLOCK)
     return out.withColumn("z_score", z)
 
 
-def running_totals(df: DataFrame, keys, order_by, columns, whole=()) -> DataFrame:
+def running_totals(df: DataFrame, keys, order_by, columns, whole=(), sample: DataFrame | None = None, ties=()) -> DataFrame:
     """Replace columns by their running sums within each key, the row itself included.
 
-    A distributed prefix sum: sums inside each range of the (key, order) sort, plus the
-    totals of the ranges before. `order_by` must split ties well, because rows that are
-    equal in it land in one task. For columns in `whole` the sum over the key is
-    added as total_<column>.
+    A distributed prefix sum with one exchange of the rows: they are dealt out by ranges of (key, order), summed inside their range, and
+    get the totals of the ranges before. Those totals are combined map-side; only keys that cross a boundary have any, of which a
+    range has two at most, so what is broadcast is bounded by the number of ranges. `order_by` must split ties well, because
+    rows that are equal in it land in one task. For columns in `whole` the sum over the key is added as total_<column>. Columns in
+    `ties` order what is equal; no use of the result can prune them, so that all uses share the one exchange.
     """
-    ranged = settled(df.repartitionByRange(*keys, *order_by).withColumn("_part", F.spark_partition_id()))
-    per_range = ranged.groupBy(*keys, "_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
+    keys, columns = list(keys), list(columns)
+    numbered, ranges = with_range(df, [*keys, *order_by], sample)
+    line = numbered.repartition(ranges, "_range")
+    per_range = numbered.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
     by_key = Window.partitionBy(*keys)
-    earlier = by_key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select(
-        *keys, "_part",
-        *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}") for c in columns],
-        *[F.sum(f"_t_{c}").over(by_key).alias(f"total_{c}") for c in whole],
-    )
-    inside = Window.partitionBy(*keys, "_part").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-    summed = ranged.select(
-        *[c for c in df.columns if c not in columns], "_part", *[F.sum(c).over(inside).alias(c) for c in columns])
-    return lookup_join(summed, offsets, [*keys, "_part"], null_safe=True).withColumns(
-        {c: F.col(c) + F.col(f"_before_{c}") for c in columns}).drop("_part", *[f"_before_{c}" for c in columns])
+    earlier = by_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carries = per_range.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_range").alias("_r"), F.count(F.lit(1)).over(by_key).alias("_ranges"),
+        *[F.sum(f"_t_{c}").over(earlier).alias(f"_before_{c}") for c in columns],
+        *[F.sum(f"_t_{c}").over(by_key).alias(f"_whole_{c}") for c in whole],
+    ).where("_ranges > 1").drop("_ranges")
+    in_range = Window.partitionBy(*keys, "_range")
+    inside = in_range.orderBy(*order_by, *ties, *(columns if ties else [])).rowsBetween(Window.unboundedPreceding, 0)
+    summed = line.select(
+        *[c for c in df.columns if c not in columns], "_range", *[F.sum(c).over(inside).alias(c) for c in columns],
+        *[F.sum(c).over(in_range).alias(f"_own_{c}") for c in whole])
+    same = F.col("_range") == F.col("_r")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return summed.join(F.broadcast(carries), same, "left").withColumns({
+        **{c: F.col(c) + F.coalesce(f"_before_{c}", F.lit(0)) for c in columns},
+        **{f"total_{c}": F.coalesce(f"_whole_{c}", f"_own_{c}") for c in whole},
+    }).select(*df.columns, *[f"total_{c}" for c in whole])
 
 
 def exact_percentiles(df: DataFrame, keys, value: str, quantiles: dict, weight: str | None = None) -> DataFrame:

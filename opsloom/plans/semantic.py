@@ -5,6 +5,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opsloom.functions import dora_tier, grain_start, pct_change
+from opsloom.operators.lookup import null_safe_join
 
 
 @dataclass(frozen=True)
@@ -16,6 +17,8 @@ class Metric:
     measure: Callable[[], Column]
     grains: tuple = ("day", "week", "month")
     dimensions: tuple = ("service_name", "environment", "squad")
+    once: tuple = ()  # semi-additive: the mart repeats `column` on all rows of these keys, and it counts once for each
+    column: str = ""
 
 
 def _avg(c):
@@ -37,8 +40,8 @@ DERIVED = {
 HEALTH_DIMENSIONS = ("service_name", "environment", "squad", "dora_tier", "has_incident_anomaly", "has_cost_anomaly")
 
 
-def _health(name, measure, dimensions=HEALTH_DIMENSIONS):
-    return Metric(name, HEALTH, "report_date", measure, VIEW_GRAINS, dimensions)
+def _health(name, measure, dimensions=HEALTH_DIMENSIONS, **more):
+    return Metric(name, HEALTH, "report_date", measure, VIEW_GRAINS, dimensions, **more)
 
 
 METRICS = {m.name: m for m in [
@@ -48,7 +51,7 @@ METRICS = {m.name: m for m in [
     Metric("cost_per_deploy", HEALTH, "report_date", _avg("cost_per_deploy_usd")),
     Metric("slo_compliance_rate", SLO, "report_week", lambda: F.avg(F.col("is_compliant").cast("double")),
            SLO_GRAINS, SLO_DIMENSIONS),
-    _health("total_daily_cost_usd", lambda: F.sum("daily_cost_usd"), ("squad",)),
+    _health(COST, lambda: F.sum("daily_cost_usd"), ("squad",), once=("report_date", "squad"), column="daily_cost_usd"),
     _health("total_deploys", lambda: F.sum("deploy_count")),
     _health("total_incidents", lambda: F.sum("incident_count")),
     _health("avg_deployment_frequency", _avg("deployment_frequency")),
@@ -75,48 +78,72 @@ def filtered(df: DataFrame, time: str, filters=None, since=None, until=None) ->
     return df if until is None else df.where(F.col(time) < F.lit(until).cast("date"))
 
 
-def metric_query(df: DataFrame, metrics, grain=None, dimensions=(), filters=None, since=None, until=None,
-                 monday_weeks=False) -> DataFrame:
-    """Metrics of one mart by period and dimensions, in one aggregation."""
+def _chosen(metrics, grains, dimensions) -> list[Metric]:
+    """The named metrics, which must share a model and know the grains and dimensions."""
     chosen = [METRICS[m] for m in ([metrics] if isinstance(metrics, str) else metrics)]
-    time = chosen[0].time
     for m in chosen:
         if m.model != chosen[0].model:
             raise ValueError("metrics of one query must share a model")
-        if grain is not None and grain not in m.grains:
-            raise ValueError(f"{m.name} has no grain {grain}")
+        for g in grains:
+            if g not in m.grains:
+                raise ValueError(f"{m.name} has no grain {g}")
         for d in dimensions:
             if d not in m.dimensions:
                 raise ValueError(f"{m.name} has no dimension {d}")
-    if COST in [m.name for m in chosen]:
-        if len(chosen) > 1:
-            raise ValueError(f"{COST} counts a squad and day once, so it is queried alone")
-        df = squad_days(filtered(df, time, filters, since, until))
-        filters = since = until = None
-    keys = [] if grain is None else [grain_start(time, grain, monday_weeks).alias("period")]
-    dims = [(DERIVED[d]() if d in DERIVED else F.col(d)).alias(d) for d in dimensions]
-    return filtered(df, time, filters, since, until).groupBy(*keys, *dims).agg(
-        *[m.measure().alias(m.name) for m in chosen])
+    return chosen
+
+
+def measured(df: DataFrame, chosen: list[Metric], keys) -> DataFrame:
+    """The metrics of filtered mart rows by `keys`, a function from a DataFrame to the same with its key columns (all of which it adds).
+
+    Every way to a metric ends here. Metrics that count once per some grain are reduced to that grain first; those of one grain share an
+    aggregation, and the parts, one row per key each, are joined.
+    """
+    parts = []
+    for once in dict.fromkeys(m.once for m in chosen):
+        own = [m for m in chosen if m.once == once]
+        rows = df if not once else df.groupBy(*once).agg(*[F.max(c).alias(c) for c in dict.fromkeys(m.column for m in own)])
+        keyed, names = keys(rows)
+        parts.append(keyed.groupBy(*names).agg(*[m.measure().alias(m.name) for m in own]))
+    out = parts[0]
+    for more in parts[1:]:
+        out = null_safe_join(out, more, names, "full") if names else out.crossJoin(more)  # one row each
+    return out.select(*names, *[m.name for m in chosen])
+
+
+def _dimensions(df: DataFrame, dimensions) -> DataFrame:
+    return df.withColumns({d: DERIVED[d]() for d in dimensions if d in DERIVED})
+
+
+def metric_query(df: DataFrame, metrics, grain=None, dimensions=(), filters=None, since=None, until=None,
+                 monday_weeks=False) -> DataFrame:
+    """Metrics of one mart by period and dimensions."""
+    chosen = _chosen(metrics, [] if grain is None else [grain], dimensions)
+    time = chosen[0].time
+
+    def keys(rows):
+        rows = _dimensions(rows, dimensions)
+        if grain is None:
+            return rows, list(dimensions)
+        return rows.withColumn("period", grain_start(time, grain, monday_weeks)), ["period", *dimensions]
+
+    return measured(filtered(df, time, filters, since, until), chosen, keys)
 
 
 def metric_by_grains(df: DataFrame, metrics, grains, dimensions=(), filters=None, since=None, until=None) -> DataFrame:
     """Metrics at several grains from one scan of the mart."""
-    chosen = [METRICS[m] for m in ([metrics] if isinstance(metrics, str) else metrics)]
+    chosen = _chosen(metrics, grains, dimensions)
     time = chosen[0].time
     periods = F.array(*[F.struct(F.lit(g).alias("grain"), grain_start(time, g).alias("period")) for g in grains])
-    return (
-        filtered(df, time, filters, since, until).select("*", F.inline(periods))
-        .groupBy("grain", "period", *dimensions).agg(*[m.measure().alias(m.name) for m in chosen])
-    )
 
+    def keys(rows):
+        return _dimensions(rows, dimensions).select("*", F.inline(periods)), ["grain", "period", *dimensions]
 
-def squad_days(mart: DataFrame) -> DataFrame:
-    """Each squad's daily cost once; the mart has it on every row of the squad and day."""
-    return mart.groupBy("report_date", "squad").agg(F.max("daily_cost_usd").alias("daily_cost_usd"))
+    return measured(filtered(df, time, filters, since, until), chosen, keys)
 
 
 def total_cost(mart: DataFrame, grain=None, dimensions=("squad",), filters=None, since=None, until=None) -> DataFrame:
-    """Cost by period and squad. No other dimension divides a squad's daily cost, so any other is an error."""
+    """Cost by period and squad, each squad's daily cost once. No other dimension divides it, so any other is an error."""
     return metric_query(mart, COST, grain, dimensions, filters, since, until)
 
 
@@ -129,7 +156,7 @@ def kpi_value(mart: DataFrame, metric: str, as_of, days=28, filters=None) -> Dat
     start, before = F.date_sub(end, days), F.date_sub(end, 2 * days)
     period = F.when(F.col(m.time) >= start, "current").otherwise("previous")
     both = filtered(mart, m.time, filters).where((F.col(m.time) >= before) & (F.col(m.time) < end))
-    parts = both.groupBy(period.alias("_p")).agg(m.measure().cast("double").alias("_v"))
+    parts = measured(both, [m], lambda rows: (rows.withColumn("_p", period), ["_p"])).withColumn("_v", F.col(m.name).cast("double"))
     return parts.agg(
         F.max(F.when(F.col("_p") == "current", F.col("_v"))).alias("value"),
         F.max(F.when(F.col("_p") == "previous", F.col("_v"))).alias("previous_value"),

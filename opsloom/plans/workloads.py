@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from opsloom.functions import pct_change, safe_divide
 from opsloom.operators.baseline import scored_jobs, workload_baseline, workload_baseline_by_day
 from opsloom.operators.cleansing import final_attempts
-from opsloom.operators.interval import covered_points, interval_counts, interval_sums
+from opsloom.operators.interval import Overlaps, interval_counts, interval_sums
 from opsloom.params import CLOCK_SKEW_SECONDS, CORRELATION_SECONDS, INFRA_EVENT_TYPES, JOB_ZSCORE_THRESHOLD
 from opsloom.session import settled
 
@@ -123,16 +123,14 @@ def overlap_summary(jobs: DataFrame, events: DataFrame, groups, tolerance, match
     """Per group of events: jobs whose run contains one, events inside any run, and the
     mean z over all overlaps, from counts per job and group."""
     keys = ["job_id", "execution_date", "duration_z_score"]
-    jobs = settled(jobs.select(*keys, "started_at", "completed_at"))  # few rows, read twice
-    counts = interval_counts(jobs, events, keys, "started_at", "completed_at", "event_timestamp", groups,
-                             tolerance, tolerance, match)
-    per_group = counts.groupBy(*groups).agg(
+    overlaps = Overlaps(jobs.select(*keys, "started_at", "completed_at"), events, keys, "started_at", "completed_at", "event_timestamp",
+                        groups, tolerance, tolerance, match, ids="event_id")
+    per_group = overlaps.counts().groupBy(*groups).agg(
         F.count_distinct("job_id").alias("affected_anomalous_jobs"),
         F.try_divide(F.sum(F.col("duration_z_score") * F.col("n")), F.sum("n")).alias("avg_anomaly_zscore"),
     )
-    inside = covered_points(events, jobs, "started_at", "completed_at", "event_timestamp", tolerance, tolerance,
-                            match)
-    return per_group.join(inside.groupBy(*groups).agg(F.count_distinct("event_id").alias("event_count")), list(groups))
+    inside = overlaps.covered().groupBy(*groups).agg(F.count_distinct("event_id").alias("event_count"))
+    return per_group.join(inside, list(groups))
 
 
 def overlapping_events(jobs: DataFrame, events: DataFrame, tolerance=CORRELATION_SECONDS) -> DataFrame:

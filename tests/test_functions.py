@@ -87,8 +87,8 @@ def test_valid_table(spark):
 
 def test_violations(spark):
     assert any("score" in m for m in messages(table(spark).drop("score")))
-    assert any("cluster" in m and "1 nulls" in m for m in messages(table(spark, clusters=(None, "a", "b"))))
-    assert any("event_id" in m and "1 duplicates" in m for m in messages(table(spark, ids=("e1", "e1", "e3"))))
+    assert any("cluster may not be null; rows: 1" in m for m in messages(table(spark, clusters=(None, "a", "b"))))
+    assert any("event_id may not repeat; rows: 1" in m for m in messages(table(spark, ids=("e1", "e1", "e3"))))
     assert any("score" in m for m in messages(table(spark).withColumn("score", F.lit("text"))))
 
 

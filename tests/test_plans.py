@@ -72,3 +72,17 @@ def test_bytes_bound_a_broadcast(spark, monkeypatch):
         assert "SortMergeJoin" in plan(lookup_join(left, left.groupBy("k").agg(F.count(F.lit(1)).alias("n")), ["k"]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_exchange_for_a_line_of_time(spark):
+    """Counts and covered points come from one exchange of the line; nothing is written in between."""
+    from opsloom.operators.interval import Overlaps
+    jobs = spark.sql("SELECT CAST(id AS STRING) AS id, timestamp_seconds(id * 60) AS s, timestamp_seconds(id * 60 + 300) AS e FROM range(2000)")
+    events = spark.sql("SELECT id AS eid, timestamp_seconds(id * 7) AS at, id % 3 AS g FROM range(5000)")
+    o = Overlaps(jobs, events, ["id"], "s", "e", "at", ["g"], ids="eid")
+    both = o.counts().groupBy("g").agg(F.sum("n").alias("n")).join(o.covered().groupBy("g").agg(F.count_distinct("eid").alias("c")), "g")
+    both.collect()
+    plan = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    line = [x for x in plan.splitlines() if "REPARTITION_BY_NUM" in x]
+    assert len(line) == 3 and sum("ReusedExchange" in x for x in line) == 2
+    assert "ExistingRDD" not in plan
