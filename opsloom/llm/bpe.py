@@ -10,12 +10,11 @@ import heapq
 import json
 import re
 import struct
-import unicodedata
 from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from opsloom.llm.common import Kept, slices, text_of
 
@@ -23,7 +22,6 @@ SHORT = 256
 NO_RANK = 1 << 60
 # Code points of Latin-1 letters, numbers and white space, for texts that hold no others.
 LATIN_L, LATIN_N, LATIN_S = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", "\\x09-\\x0d \\x85\\xa0"
-UNICODE_S = LATIN_S + "\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^{S}{L}{N}]+"
 
 
@@ -56,7 +54,9 @@ class WordBpe:
         self.last = [vocab[s + self.suffix] for s in symbols]
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         self.latin = re.compile(WORDS.format(L=LATIN_L, N=LATIN_N, S=LATIN_S))
-        self.any = regex.compile(WORDS.format(L="\\p{L}", N="\\p{N}", S=UNICODE_S))
+        self.normalizer = Tokenizer.from_file(path).normalizer
+        split = next(s for s in spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]]) if s["type"] == "Split")
+        self.any = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), "removed", invert=split["invert"])
         self.kept = Kept(self.word)
 
     def merge(self, word: bytes):
@@ -114,15 +114,13 @@ class WordBpe:
         return packed, self.decode(packed)
 
     def words(self, text: str):
-        """Lower-cased, composed text cut into words; control strings of the vocabulary stay whole."""
-        if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        text = (text.replace("Σ", "σ") if "Σ" in text else text).lower()
+        """Lower-cased, composed text cut into words; control strings of the vocabulary stay whole. What is not Latin-1 is composed, lower-cased
+        and split as the library does, whatever Unicode version it follows."""
         try:
             text.encode("latin-1")
-            return self.latin.findall(text)
+            return self.latin.findall(text.lower())
         except UnicodeEncodeError:
-            return self.any.findall(text)
+            return [piece for piece, _ in self.any.pre_tokenize_str(self.normalizer.normalize_str(text))]
 
     def encode_decode(self, text: str):
         """Ids (packed, 4 bytes each) and the text that they decode to."""

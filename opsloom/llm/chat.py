@@ -8,7 +8,7 @@ import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from opsloom.llm.common import slices, tasks
 
@@ -43,8 +43,33 @@ def field_paths(record):
     return F.regexp_replace(F.schema_of_variant(record), SCALARS, "")
 
 
+def paths_of(kind) -> str:
+    """The nested field paths of a column's type, as `field_paths` gives them for a variant."""
+    if isinstance(kind, T.StructType):
+        inner = [(f.name, paths_of(f.dataType)) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return f"OBJECT<{', '.join(name + (nested and ': ' + nested) for name, nested in inner)}>"
+    return f"ARRAY<{paths_of(kind.elementType)}>" if isinstance(kind, T.ArrayType) else ""
+
+
+class FromVariant:
+    """Reads fields of a variant column."""
+
+    def __init__(self, record):
+        self.record = record
+
+    def get(self, path, kind):
+        return F.try_variant_get(self.record, "$." + path, kind)
+
+
+class FromStruct(FromVariant):
+    """Reads fields of a struct column."""
+
+    def get(self, path, kind):
+        return self.record[path].cast(kind)
+
+
 def _text(record, path):
-    return F.coalesce(F.try_variant_get(record, "$." + path, "string"), F.lit(""))
+    return F.coalesce(record.get(path, "string"), F.lit(""))
 
 
 def _turn(part, order, role, text):
@@ -61,36 +86,53 @@ def _steps(record, steps):
     for part, step in enumerate(steps):
         if step[0] == "row":
             _, order, role, text = step
-            out.append(F.array(_turn(part, F.try_variant_get(record, "$." + order, "long"), _text(record, role), _text(record, text))))
+            out.append(F.array(_turn(part, record.get(order, "long"), _text(record, role), _text(record, text))))
         elif step[0] == "one":
             _, role, path = step
             parts = [_text(record, p) for p in path.split("\n\n")]
             out.append(F.array(_turn(part, F.lit(0).cast("long"), F.lit(role), F.concat_ws("\n\n", *[F.when(p != "", p) for p in parts]))))
         else:
             _, path, role, text = step
-            rows = F.coalesce(F.try_variant_get(record, "$." + path, f"array<struct<`{role}`: string, `{text}`: string>>"), F.array())
+            rows = F.coalesce(record.get(path, f"array<struct<`{role}`: string, `{text}`: string>>"), F.array())
             out.append(F.transform(rows, _element(part, role, text)))
     return F.concat(*out) if len(out) > 1 else out[0]
 
 
 def canonical_turns(records: DataFrame, record="record", key="conv_id") -> DataFrame:
-    """Turns (conv_id, part, turn, role, text) of JSON records in any known layout.
+    """Turns (conv_id, part, turn, role, text) of records in any known layout: JSON text, or a struct column.
 
-    Null texts and roles are empty; a null turn stays null; a null key stays null and forms one conversation. A record whose fingerprint is
-    unknown, or that is no JSON object, becomes one turn of role "unknown" with the record as its text.
+    A struct's layout is the fingerprint of its type, and its fields are read as they are, whatever their length; JSON text is read as a
+    variant, which has a size limit. Names of roles are unified, but for rows that already are turns. Null texts and roles are empty; a null turn
+    stays null; a null key stays null and forms one conversation. A record whose fingerprint is unknown, or that is no JSON object,
+    becomes one turn of role "unknown" with the record as its text.
     """
     spark = records.sparkSession
     known = spark.range(1).select(*[F.xxhash64(F.lit(paths)).alias(name) for name, (paths, _) in LAYOUTS.items()]).first()
+    kind = records.schema[record].dataType
+    if isinstance(kind, T.StructType):
+        own = spark.range(1).select(F.xxhash64(F.lit(paths_of(kind))).alias("h")).first().h
+        layout = next((name for name in LAYOUTS if known[name] == own), None)
+        if layout is not None:
+            turns = _steps(FromStruct(F.col("_r")), LAYOUTS[layout][1])
+            return _unified(records.select(F.col(key).cast("long").alias("conv_id"), F.col(record).alias("_r")).select(
+                "conv_id", F.explode(turns).alias("t"), F.lit(layout == "rows").alias("_as_is")))
+        records = records.withColumn(record, F.to_json(record, {"ignoreNullFields": "false"}))
     v = F.try_parse_json(F.col(record))
     read = records.select(F.col(key).cast("long").alias("conv_id"), F.col(record).alias("_raw"), v.alias("_v"))
     read = read.withColumn("_print", fingerprint(F.col("_v")))
     unknown = F.array(_turn(0, F.lit(0).cast("long"), F.lit("unknown"), F.coalesce(F.col("_raw"), F.lit(""))))
     turns = unknown
     for name, (_, steps) in LAYOUTS.items():
-        turns = F.when(F.col("_print") == known[name], _steps(F.col("_v"), steps)).otherwise(turns)
-    role = F.lower(F.col("t.role"))
-    mapped = F.coalesce(F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])[role], F.col("t.role"))
-    return read.select("conv_id", F.explode(turns).alias("t")).select("conv_id", "t.part", "t.turn", mapped.alias("role"), "t.text")
+        turns = F.when(F.col("_print") == known[name], _steps(FromVariant(F.col("_v")), steps)).otherwise(turns)
+    as_is = F.coalesce(F.col("_print") == known["rows"], F.lit(False)).alias("_as_is")
+    return _unified(read.select("conv_id", F.explode(turns).alias("t"), as_is))
+
+
+def _unified(read: DataFrame) -> DataFrame:
+    """Turns with the names of roles that other layouts use brought to one."""
+    names = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])
+    role = F.when(F.col("_as_is"), F.col("t.role")).otherwise(F.coalesce(names[F.lower("t.role")], F.col("t.role")))
+    return read.select("conv_id", "t.part", "t.turn", role.alias("role"), "t.text")
 
 
 def escape(text: str) -> str:

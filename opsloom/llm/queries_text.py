@@ -29,9 +29,8 @@ def chat_format(spark, folder):
 
 
 def turn_records(rows):
-    """JSON records (conv_id, record) of turns; null fields are written, since a record's layout is told by its fields."""
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), "text")
-    return rows.select("conv_id", F.to_json(turn, {"ignoreNullFields": "false"}).alias("record"))
+    """Records (conv_id, record) of turns, as structs: texts of any length pass."""
+    return rows.select("conv_id", F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), "text").alias("record"))
 
 
 @query("op8_bpe")

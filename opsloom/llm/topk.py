@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from opsloom.llm.common import tasks
+from opsloom.llm.common import settled, tasks
 
 BLOCK = 4096
 QUERY_BLOCK = 512
@@ -18,35 +18,36 @@ DEPTHS = (0.375, 0.625, 0.75, 0.875)
 
 
 def quantised(vectors: DataFrame, key="vec_id", column="embedding", scale=256) -> DataFrame:
-    """(vec_id, q): floor(scale * x) of every component. Rows without id, null vectors and vectors that hold null or
-    non-finite components are left out. Rows that share an id are one vector: the smallest of theirs."""
+    """(row, vec_id, q): floor(scale * x) of every component. Rows without id, null vectors and vectors that hold null or
+    non-finite components are left out. Rows that share an id stay rows of their own, told apart by `row`."""
     x = F.col(column).cast("array<double>")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     rows = vectors.where(F.col(key).isNotNull() & x.isNotNull() & ~bad)
     q = F.transform(x, lambda v: F.floor(v * scale).cast("long"))
-    return rows.groupBy(F.col(key).cast("long").alias("vec_id")).agg(F.min(q).alias("q"))
+    return settled(rows.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("vec_id"), q.alias("q")))
 
 
 def packed(rows: DataFrame, blocks, name: str) -> DataFrame:
-    """One row per block: its number, ids and vectors as arrays."""
-    return rows.groupBy(blocks.alias(name)).agg(F.collect_list("vec_id").alias("ids"), F.collect_list("q").alias("qs"))
+    """One row per block: its number and its rows."""
+    return rows.groupBy(blocks.alias(name)).agg(F.collect_list(F.struct("row", "vec_id", "q")).alias("own"))
 
 
-def matrix(ids, qs):
-    width = max((len(q) for q in qs), default=0)
-    out = np.zeros((len(qs), width), np.int64)
-    for i, q in enumerate(qs):
-        out[i, :len(q)] = q
-    order = np.argsort(np.asarray(ids, np.int64), kind="stable")
-    return np.asarray(ids, np.int64)[order], out[order]
+def matrix(own):
+    """(row numbers, ids, vectors), by id."""
+    own = sorted(own, key=lambda r: (r["vec_id"], r["row"]))
+    width = max((len(r["q"]) for r in own), default=0)
+    out = np.zeros((len(own), width), np.int64)
+    for i, r in enumerate(own):
+        out[i, :len(r["q"])] = r["q"]
+    return np.array([r["row"] for r in own], np.int64), np.array([r["vec_id"] for r in own], np.int64), out
 
 
 class Block:
     """Sorted lists of a block of vectors. `ends` has the values of each list in order, `rank` the place of each component in its list. What
     queries have read after some steps from either end of a list is the same for all of them, so a batch of queries is advanced by one product."""
 
-    def __init__(self, ids, vectors):
-        self.ids, self.vectors = ids, vectors
+    def __init__(self, rows, ids, vectors):
+        self.rows, self.ids, self.vectors = rows, ids, vectors
         order = np.argsort(vectors, axis=0, kind="stable")
         self.ends = np.take_along_axis(vectors, order, 0).astype(float)
         self.rank = np.empty(order.shape, np.int32)
@@ -68,10 +69,10 @@ class Block:
         return bound(self.ends[n - depth], self.ends[depth - 1]), bound(self.ends[0], self.ends[-1])
 
     def top(self, owns, queries: np.ndarray, k: int):
-        """Per query the k best (score, id) other than the query's own id, ties to the smaller id."""
+        """Per query the k best (score, id) other than the query's own row, ties to the smaller id."""
         n, width = self.vectors.shape
         queries = np.pad(queries, ((0, 0), (0, max(0, width - queries.shape[1]))))[:, :width]
-        rest = [np.flatnonzero(self.ids != own) for own in owns]
+        rest = [np.flatnonzero(self.rows != own) for own in owns]
         if n == 0 or width == 0:
             return [[(0, int(i)) for i in sorted(self.ids[r].tolist())[:k]] for r in rest]
         # Single precision may be off by this much; the scores that decide are exact.
@@ -85,7 +86,7 @@ class Block:
             upper, lower = self.bounds(depth, np.maximum(q, 0), np.minimum(q, 0))
             on = []
             for column, j in enumerate(live.tolist()):
-                allowed = rest[j] if len(rest[j]) < n - 1 else np.flatnonzero(self.ids != owns[j])
+                allowed = rest[j] if len(rest[j]) < n - 1 else np.flatnonzero(self.rows != owns[j])
                 if len(allowed) <= k:
                     continue
                 floor = np.partition(lower[allowed, column], -k)[-k]
@@ -102,28 +103,27 @@ class Block:
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """Rows (query_id, rank, vec_id, score) for quantised queries against quantised vectors (vec_id, q).
+    """Rows (query_id, rank, vec_id, score) for quantised queries against quantised vectors (row, vec_id, q).
 
-    A vector is never its own query's answer. Shorter vectors count as padded with zeros. Fewer than k candidates give
+    A row is never its own query's answer; rows that share an id are queries and answers of their own. Shorter vectors count as padded with zeros. Fewer than k candidates give
     fewer rows; empty tables give none. Sums are exact while components stay below 2**23 in size.
     """
     n_vectors, n_queries = vectors.count(), queries.count()
     blocks, query_blocks = max(1, -(-n_vectors // block)), max(1, -(-n_queries // query_block))
-    spread = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n))
+    spread = lambda n: F.pmod(F.xxhash64("row"), F.lit(n))
     left = packed(queries, spread(query_blocks), "qb").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
-    left = left.select("b", "qb", F.col("ids").alias("q_ids"), F.col("qs").alias("q_qs"))
+    left = left.select("b", "qb", F.col("own").alias("asked"))
     pairs = left.join(packed(vectors, spread(blocks), "b"), "b").repartition(tasks(vectors), "b", "qb")
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([(n, pa.int64()) for n in ("query_row", "query_id", "vec_id", "score")])
 
     def search(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                q_ids, q_qs, ids, qs = (batch.column(c)[i].as_py() for c in ("q_ids", "q_qs", "ids", "qs"))
-                q_ids, q_rows = matrix(q_ids, q_qs)
-                own = Block(*matrix(ids, qs))
-                found = [(q, v, s) for q, best in zip(q_ids.tolist(), own.top(q_ids.tolist(), q_rows, k)) for s, v in best]
-                yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], pa.int64()) for j in range(3)], schema=schema)
-
-    found = pairs.mapInArrow(search, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+                rows, ids, vectors = matrix(batch.column("asked")[i].as_py())
+                own = Block(*matrix(batch.column("own")[i].as_py()))
+                found = [(r, q, v, s) for r, q, best in zip(rows.tolist(), ids.tolist(), own.top(rows.tolist(), vectors, k)) for s, v in best]
+                yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], pa.int64()) for j in range(4)], schema=schema)
+
+    found = pairs.mapInArrow(search, "query_row long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

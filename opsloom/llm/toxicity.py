@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, functions as F
 from opsloom.llm.common import settled, slices, text_of
 
 SAMPLE = 10_000
-CANDIDATES = 2_000
 TOGETHER = 200_000
 LEAST = 5
 THRESHOLD = 0.7
@@ -41,7 +40,7 @@ SUBSTITUTE, DROP, DROP_DIGIT, SHRINK, KEEP_SIGN, KEEP_SPACE, KEEP_END, HALVE, HA
 BELIEF = 3.0
 LETTER = "a-zß-öø-ÿœ"
 SIGN = re.escape("".join(LOOKALIKES))
-WORD = re.compile(f"[{LETTER}0-9]+")
+WORD = re.compile(r"[^\W_]+")  # of any script
 BETWEEN = f"(?:[^\\w{SIGN}]|_)"
 # Single letters or signs set apart by anything else, or a word with a look-alike sign or the same letter twice. Both have letters.
 MARKED = re.compile(
@@ -239,13 +238,14 @@ def char_counts(docs: DataFrame) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame, model, sample: int = SAMPLE):
     """(weights, curve): from at most `sample` labelled documents, the ones whose id hashes lowest.
 
-    Labels of held-out documents are not read. An id with several labels counts as toxic if any says so.
+    Labels of held-out documents are not read. An id with several labels counts as toxic if any says so; of rows that repeat an id the text
+    with the least hash is learnt from, so the sample has one row per id.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("doc_id")).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = settled(rows.select("toxic", "text"))
+    rows = settled(rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).drop("doc_id"))
 
     def seen(batches):
         found = {}
@@ -269,7 +269,7 @@ def learn(docs: DataFrame, labels: DataFrame, model, sample: int = SAMPLE):
     if not n_t or not n_c:
         return {}, [0.0, 0.0, -3.0]
     top = by_feature.where((F.col("feature") != "") & (F.col("t") >= LEAST) & ((F.col("t") + 0.5) / (n_t + 1) > 5 * (F.col("c") + 0.5) / (n_c + 1)))
-    clean = {r.feature: r.c for r in top.orderBy(F.desc("t"), "feature").limit(CANDIDATES).collect()}
+    clean = {r.feature: r.c for r in top.collect()}  # at most the words of the sample
 
     def held(batches):
         for batch in slices(batches, 64):

@@ -274,3 +274,17 @@ def test_empty_tables(spark):
     assert simhash.near_duplicates(none).count() == repeats.repeats(none).count() == 0
     assert packing.packed(none, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
     assert bpe.encode_digests(none, public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+def test_word_encoding_of_every_code_point():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, library = bpe.word_bpe(path), Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    wrong = []
+    for low in range(0, 0x110000, 256):
+        some = [chr(c) for c in range(low, low + 256) if not 0xD800 <= c < 0xE000]
+        text = "\n".join(f"b{c}d {c}9" for c in some)
+        if np.frombuffer(own.encode_decode(text)[0], "<u4").tolist() != library.encode(text, add_special_tokens=False).ids:
+            wrong.append(low)
+    assert wrong == []

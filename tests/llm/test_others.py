@@ -85,6 +85,31 @@ def test_digests_of_long_and_odd_conversations(spark):
 
 # ---------------------------------------------------------------- vectors
 
+def test_rows_keep_their_roles_and_long_texts(spark):
+    """Roles of rows are as they stand; other layouts have theirs unified. A text beyond the size of a variant is a turn like others."""
+    long = "y" * 140_000_000
+    rows = spark.createDataFrame([(1, 0, "gpt", "said"), (1, 1, "Human", "x"), (2, 0, "assistant", "short")], "conv_id long, turn int, role string, text string")
+    rows = rows.withColumn("text", F.when(F.col("conv_id") == 2, F.expr("repeat('y', 140000000)")).otherwise(F.col("text")))
+    got = {r.conv_id: r for r in chat.digests(chat.formatted(chat.canonical_turns(queries_text.turn_records(rows)))).collect()}
+    assert got[1].loss_chars == 0 and got[1].turns_sha256 == hashlib.sha256(b"gpt\nsaid\nHuman\nx\n").hexdigest()
+    assert got[2].loss_chars == len(long) and got[2].loss_sha256 == hashlib.sha256(long.encode()).hexdigest()
+    share = spark.createDataFrame([(3, '{"conversations": [{"from": "gpt", "value": "v"}]}')], "conv_id long, record string")
+    assert [(r.role, r.text) for r in chat.canonical_turns(share).collect()] == [("assistant", "v")]
+    pairs = spark.createDataFrame([(4, "p", "c")], "conv_id long, prompt string, completion string").select("conv_id", F.struct("prompt", "completion").alias("record"))
+    assert [(r.role, r.text) for r in chat.canonical_turns(pairs).orderBy("part").collect()] == [("user", "p"), ("assistant", "c")]
+
+
+def test_top_k_of_repeated_ids(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.5, 0.0]), (7, [1.0, 1.0]), (7, [0.25, 0.0]), (3, [2.0, 0.0])]
+    vectors = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(vectors, vectors.where("vec_id = 50"), 3).collect())
+    want = []
+    for own in (0, 1):
+        scores = sorted((-sum(int(256 * a) * int(256 * b) for a, b in zip(rows[own][1], v)), i) for n, (i, v) in enumerate(rows) if n != own)
+        want += [(50, k + 1, i, -s) for k, (s, i) in enumerate(scores[:3])]
+    assert got == sorted(want)
+
+
 def test_top_k_equals_brute_force(spark):
     r = np.random.default_rng(1)
     base = r.normal(size=(5, 12))
