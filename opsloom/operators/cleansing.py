@@ -69,25 +69,21 @@ def resource_fills(df: DataFrame, columns, strategy="workload_median") -> DataFr
     """One row per workload type with the value that replaces NULL in each column.
 
     The type median, else the median of the column after the type medians have been
-    filled in. All columns share one pass: values are counted per (column, type, value).
+    filled in. Only the type and these columns are written, since every round of the selection reads them.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
-    counted = settled(
-        df.select("workload_type", F.inline(pairs)).groupBy("name", "workload_type", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    nulls = counted.groupBy("name", "workload_type").agg(
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("nulls"))
+    values = settled(df.select("workload_type", *columns)).select("workload_type", F.inline(pairs)).withColumn("n", F.lit(1).cast("bigint"))
+    nulls = values.groupBy("name", "workload_type").agg(F.count_if(F.col("value").isNull()).alias("nulls"))
     if strategy == "workload_median":
-        medians = exact_percentiles(counted, ["name", "workload_type"], "value", {"median": 0.5}, "n").drop("n_values")
+        medians = exact_percentiles(values, ["name", "workload_type"], "value", {"median": 0.5}).drop("n_values")
         typed = settled(nulls.join(medians, ["name", "workload_type"], "left"))
         # Only columns that some type leaves without a median need the overall one.
         open_columns = [r["name"] for r in typed.where("median IS NULL AND nulls > 0").select("name").distinct().collect()]
-        filled = counted.where("value IS NOT NULL").select("name", "value", "n").unionByName(
+        filled = values.where("value IS NOT NULL").select("name", "value", "n").unionByName(
             typed.where("median IS NOT NULL AND nulls > 0").selectExpr("name", "median AS value", "nulls AS n"))
     else:
         typed, open_columns = nulls.withColumn("median", F.lit(None).cast("double")), columns
-        filled = counted.where("value IS NOT NULL").select("name", "value", "n")
+        filled = values.where("value IS NOT NULL").select("name", "value", "n")
     value = F.col("median")
     if open_columns:
         overall = exact_percentiles(
@@ -129,9 +125,9 @@ def _prepared(df: DataFrame) -> DataFrame:
 
 
 def clean(df: DataFrame, strategy="workload_median") -> DataFrame:
-    """All steps in their fixed order. The deduplicated rows feed both the medians and
-    the result, so they are written once."""
-    unique = settled(final_attempts(derive_duration(_prepared(df))))
+    """All steps in their fixed order. The medians read the deduplicated rows with their few columns only, so nothing of full width is
+    written in between."""
+    unique = final_attempts(derive_duration(_prepared(df)))
     return with_flags(impute_resources(unique, strategy).where(valid_enums()))
 
 

@@ -11,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from opsloom.operators.lookup import lookup_join
+from opsloom.operators.lookup import BROADCAST_ROWS, lookup_join
 from opsloom.session import settled
 
 BLOCK = 65_536
@@ -134,22 +134,62 @@ def running_totals(df: DataFrame, keys, order_by, columns, whole=(), sample: Dat
     }).select(*df.columns, *[f"total_{c}" for c in whole])
 
 
-def exact_percentiles(df: DataFrame, keys, value: str, quantiles: dict, weight: str | None = None) -> DataFrame:
+SELECT_ROWS = 100_000
+STEPS = 64
+
+
+def _inside(rows: DataFrame, brackets: DataFrame, keys) -> DataFrame:
+    """Rows (keys, _v, _w) with the bracket of their key that holds their value; brackets of a key do not overlap."""
+    named = brackets.withColumnsRenamed({k: f"_b_{k}" for k in keys})
+    if brackets.count() <= BROADCAST_ROWS:  # a few numbers each
+        named = F.broadcast(named)
+    same = (F.col("_v") >= F.col("_from")) & (F.col("_v") <= F.col("_to"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
+    return rows.join(named, same).drop(*[f"_b_{k}" for k in keys])
+
+
+def exact_percentiles(df: DataFrame, keys, value: str, quantiles: dict, weight: str | None = None, most=SELECT_ROWS) -> DataFrame:
     """Exact, linearly interpolated percentiles per key; NULL values do not count.
 
-    The built-in `percentile` holds all distinct values of a group in one task. Here equal
-    values are merged first (map-side), the rest is a distributed sort, and each wanted
-    rank is picked out of the one range that holds it. `quantiles` maps names to
-    fractions; the count of values is returned as `n_values`.
+    Selection by histograms: the range of a key's values is cut into bins (STEPS in each octave above its least value), counted
+    map-side, and only the bins that hold a wanted rank go on, with the least and greatest value they really have, until they
+    hold `most` rows at most or a single value. Only those are sorted, so a key with a third of all rows sorts a bounded share. `quantiles` maps
+    names to fractions; the count of values is returned as `n_values`. `df` is read once a round.
     """
-    amount = F.sum(weight) if weight else F.count(F.lit(1))
-    merged = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(amount.alias("_n"))
-    running = running_totals(merged.withColumn("_hi", F.col("_n")), keys, ["_v"], ["_hi"], whole=["_hi"])
-    ranked = running.withColumnRenamed("total__hi", "n_values").withColumn("_lo", F.col("_hi") - F.col("_n"))
+    keys = list(keys)
+    amount = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), amount.alias("_w"))
+    held = [F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_from"), F.max("_v").alias("_to")]
+    brackets = settled(rows.groupBy(*keys).agg(*held).select(
+        *keys, F.col("_n").alias("n_values"), "_rows", "_from", "_to", F.lit(0).cast("bigint").alias("_before")))
 
     def target(q):
         return F.lit(float(q)) * (F.col("n_values") - 1)
 
+    wanted = F.array(*[f(target(q)).cast("bigint") for q in quantiles.values() for f in (F.floor, F.ceil)])
+    wide = (F.col("_rows") > most) & (F.col("_from") != F.col("_to"))
+    last = None
+    # A round that narrows nothing (values apart by less than a double tells) leaves the rest to the sort.
+    while (widest := brackets.where(wide).agg(F.max("_rows")).first()[0]) is not None and widest != last:
+        last = widest
+        low, high, v = (F.col(c).cast("double") / 2 for c in ("_from", "_to", "_v"))
+        share = (v - low) / (high - low)
+        octave = F.floor(F.log2(share))
+        step = F.floor(octave * STEPS + (share / F.pow(F.lit(2.0), octave) - 1) * STEPS)
+        place = F.when(F.col("_v") == F.col("_from"), F.lit(-(1 << 40))).when(F.col("_v") == F.col("_to"), F.lit(1 << 40)).otherwise(
+            F.coalesce(step, F.lit(0))).cast("bigint")
+        bins = _inside(rows, brackets.where(wide), keys).drop("_rows").groupBy(*keys, "n_values", "_before", place.alias("_bin")).agg(*held)
+        earlier = Window.partitionBy(*keys, "_before").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+        bins = bins.withColumn("_start", F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        hit = F.exists(wanted, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_n")))
+        narrowed = bins.where(hit).select(*keys, "n_values", "_rows", "_from", "_to", F.col("_start").alias("_before"))
+        brackets = settled(brackets.where(~wide).unionByName(narrowed))
+
+    merged = _inside(rows, brackets, keys).groupBy(*keys, "n_values", "_before", "_v").agg(F.sum("_w").alias("_n"))
+    up_to = Window.partitionBy(*keys, "_before").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = merged.withColumn("_hi", F.col("_before") + F.sum("_n").over(up_to)).withColumn("_lo", F.col("_hi") - F.col("_n"))
+
     def at(rank):
         return F.max(F.when((rank >= F.col("_lo")) & (rank < F.col("_hi")), F.col("_v")))
 

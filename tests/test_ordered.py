@@ -66,6 +66,27 @@ def test_exact_percentiles(hot):
             assert got[k][name] == pytest.approx(np.quantile(values, q))
 
 
+def test_percentiles_by_selection(spark):
+    """Skewed, tied, negative, huge and infinite values; every bin is narrowed to a few rows or one value."""
+    rnd = np.random.default_rng(4)
+    series = {
+        "skewed": np.exp(rnd.normal(0, 12, 3000)), "tied": np.repeat([-1.5, 2.0, 2.0000001, 7.0], [10, 2000, 500, 3]), "uniform": rnd.random(2500) - 0.5,
+        "huge": np.concatenate([rnd.random(900) * 1e308, -rnd.random(900) * 1e308]), "infinite": np.concatenate([[-np.inf, np.inf], rnd.random(700)]),
+        "near": 1e9 + rnd.integers(0, 5, 2000) * 1e-7, "one": np.array([3.25]), None: rnd.normal(size=800),
+    }
+    df = spark.createDataFrame([(k, float(v)) for k, vs in series.items() for v in vs], "k string, v double").repartition(5)
+    qs = {"p1": 0.01, "p50": 0.5, "p90": 0.9, "p99": 0.99}
+    got = {r.k: r for r in ordered.exact_percentiles(df, ["k"], "v", qs, most=20).collect()}
+    assert set(got) == set(series)
+    for k, values in series.items():
+        values = np.sort(values)
+        assert got[k].n_values == len(values)
+        for name, q in qs.items():
+            at = q * (len(values) - 1)
+            a, b = float(values[int(np.floor(at))]), float(values[int(np.ceil(at))])
+            assert got[k][name] == pytest.approx(a + (b - a) * (at - np.floor(at)), rel=1e-15), (k, name)
+
+
 def test_weighted_percentiles(spark):
     df = spark.createDataFrame([("a", 1.0, 3), ("a", 10.0, 1), ("a", 2.0, 2)], "k string, v double, w int")
     r = ordered.exact_percentiles(df, ["k"], "v", {"m": 0.5, "q": 0.9}, weight="w").first()
