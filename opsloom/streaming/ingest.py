@@ -63,6 +63,16 @@ def deduplicated(events: DataFrame, late="1 hour", key="event_id", ts="event_ts"
     return events.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
 
 
+def first_arrivals(parsed: DataFrame, remember="1 day") -> DataFrame:
+    """Parsed messages of a stream without repeats of an id that arrive within `remember` of the first; rejected messages all stay.
+
+    State is keyed by id and expires on the time of arrival, which never runs behind the watermark, so the operator drops nothing
+    but repeats, however old their event time is."""
+    key = F.when(F.col("reason").isNull(), F.col("event_id")).otherwise(F.uuid())
+    stamped = parsed.withColumn("_key", key).withColumn("_arrived", F.current_timestamp())
+    return deduplicated(stamped, remember, "_key", "_arrived").drop("_key", "_arrived")
+
+
 def hourly_scores(events: DataFrame, late="1 hour") -> DataFrame:
     """Availability and readiness per cluster, environment and tumbling hour."""
     staged = fleet_telemetry(events)
@@ -84,43 +94,63 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, available_now=True)
     return writer.start(path)
 
 
-def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, late="1 hour", available_now=True, max_files: int | None = None):
+# Ids of a long memory do not fit on the heap: state in RocksDB, of which a batch uploads its changes only.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def _start(writer, spark: SparkSession):
+    """Start a query with STATE; the query keeps these settings, the session gets its own back."""
+    own = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
+    try:
+        return writer.start()
+    finally:
+        for name, value in own.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def ingest(spark: SparkSession, source: str, sink: str, checkpoint: str, late="1 hour", available_now=True, max_files: int | None = None,
+           remember="1 day"):
     """Files of JSON lines to append-only tables; no message is lost.
 
     `sink` gets the first message of each id, `sink`_rejected what does not parse or lacks a field, with the reason, and
-    `sink`_late what is older than the newest time of earlier batches minus `late`. A repeat of an id that is in `sink` and not late is
-    dropped. Each batch writes its own partition `batch`, so a batch that is run again replaces what it wrote. Ids are
-    looked up only among rows young enough to be repeated.
+    `sink`_late what is older than the newest time of earlier batches minus `late`. A repeat of an id that arrives within `remember` of
+    the first is dropped, late or not; ids are held in keyed state that expires then, and no batch reads what earlier ones wrote, but
+    for the one row with the newest time so far. Each batch writes its own partition `batch`, so a batch that is run again
+    replaces what it wrote.
     """
     rejected, too_late, marks = f"{sink}_rejected", f"{sink}_late", f"{sink}_marks"
     none = spark.createDataFrame([], T.StructType([T.StructField("value", T.StringType())]))
     empty = valid_messages(none)
-    seeds = {sink: empty, too_late: empty, rejected: rejected_messages(none), marks: empty.select(F.col("event_ts").alias("newest"))}
+    newest = T.StructType([T.StructField("newest", T.TimestampType())])
+    seeds = {sink: empty, too_late: empty, rejected: rejected_messages(none), marks: spark.createDataFrame([], newest)}
     for path, df in seeds.items():
         df.write.mode("overwrite").parquet(f"{path}/batch=-1")
-    schema = {path: T.StructType([*df.schema.fields, T.StructField("batch", T.LongType())]) for path, df in seeds.items()}
 
     def keep(batch, number):
-        session = batch.sparkSession
-
-        def before(path):
-            return session.read.schema(schema[path]).parquet(path).where(F.col("batch") < number)
-
         def put(df, path):
             df.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-        parsed = settled(parse_messages(batch))
-        put(parsed.where("reason IS NOT NULL").select("message", "reason"), rejected)
-        good = parsed.where("reason IS NULL").drop("reason", "message")
-        floor = before(marks).agg((F.max("newest") - F.expr(f"INTERVAL {late}")).alias("f")).first().f
+        before = batch.sparkSession.read.schema(newest).parquet(f"{marks}/batch={number - 1}")
+        floor = before.agg((F.max("newest") - F.expr(f"INTERVAL {late}")).alias("f")).first().f
+        firsts = settled(batch)
+        put(firsts.where("reason IS NOT NULL").select("message", "reason"), rejected)
+        good = firsts.where("reason IS NULL").drop("reason", "message")
         old = F.lit(False) if floor is None else F.col("event_ts") < F.lit(floor)
         put(good.where(old), too_late)
-        fresh = good.where(~old).dropDuplicates(["event_id"])
-        known = before(sink) if floor is None else before(sink).where(F.col("event_ts") >= F.lit(floor))
-        put(fresh.join(known.select("event_id"), "event_id", "left_anti").select(*good.columns), sink)
-        put(good.agg(F.max("event_ts").alias("newest")).where("newest IS NOT NULL"), marks)
+        put(good.where(~old), sink)
+        seen = before.union(good.agg(F.max("event_ts").alias("newest"))).agg(F.max("newest").alias("newest"))
+        put(seen.where("newest IS NOT NULL"), marks)
 
-    writer = message_stream(spark, source, max_files).writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+    firsts = first_arrivals(parse_messages(message_stream(spark, source, max_files)), remember)
+    writer = firsts.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return _start(writer, spark)

@@ -129,3 +129,36 @@ def test_late_messages_are_kept_apart_and_batches_repeat_safely(spark, tmp_path)
     ids = lambda path: sorted(r.event_id for r in spark.read.parquet(path).collect())
     assert ids(sink) == ["a", "b", "e", "f"] and ids(sink + "_late") == ["c"]
     assert [r.message for r in spark.read.parquet(sink + "_rejected").collect()] == ["broken"]
+
+
+def test_ingest_remembers_ids_in_state_and_not_in_the_sink(spark, tmp_path):
+    source, sink, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.createDataFrame([(message(1),), (message(2),), ("broken",), ("broken",)], "value string").coalesce(1).write.text(source)
+    ingest.ingest(spark, source, sink, state).awaitTermination()
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+    assert spark.read.parquet(sink + "_rejected").count() == 2
+    for path in (sink, sink + "_late", sink + "_rejected"):
+        spark.read.parquet(path + "/batch=0").limit(0).write.mode("overwrite").parquet(path + "/batch=0")
+    spark.createDataFrame([(message(1),), (message(2),), (message(3),)], "value string").coalesce(1).write.mode("append").text(source)
+    ingest.ingest(spark, source, sink, state).awaitTermination()
+    assert [r.event_id for r in spark.read.parquet(sink).collect()] == ["e3"]
+    assert spark.read.parquet(sink + "_late").count() == spark.read.parquet(sink + "_rejected").count() == 0
+
+
+def test_ingest_state_expires_and_a_batch_can_run_again(spark, tmp_path):
+    import os
+    source, sink, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+    held = []
+    for i in (1, 2, 3, 4):
+        spark.createDataFrame([(message(i),)], "value string").coalesce(1).write.mode("append").text(source)
+        query = ingest.ingest(spark, source, sink, state, remember="0 seconds")
+        query.awaitTermination()
+        held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert max(held) <= 2
+    kept = sorted(r.event_id for r in spark.read.parquet(sink).collect())
+    last = max(int(x) for x in os.listdir(state + "/commits") if x.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        os.remove(f"{state}/commits/{name}")
+    ingest.ingest(spark, source, sink, state, remember="0 seconds").awaitTermination()
+    assert sorted(r.event_id for r in spark.read.parquet(sink).collect()) == kept == ["e1", "e2", "e3", "e4"]
