@@ -9,6 +9,8 @@ import html
 import math
 import random
 import re
+from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,15 +47,55 @@ def marks(attributes: str):
     return tuple(kind for pattern, kind in MARK_OF if pattern.search(values)) if values else ()
 
 
+@lru_cache(4096)
+def above_names(tag, kinds):
+    """Features that an open element gives to the blocks inside."""
+    return (*(("in:" + tag,) if tag in SHOWN and tag not in INLINE else ()), *("mark:" + k for k in kinds))
+
+
+class Ancestors:
+    """Open elements, with counts of the tags and of the features that they give, so a step costs the same at any depth."""
+
+    def __init__(self):
+        self.stack, self.own, self.tags, self.counts = [], [], Counter(), Counter()
+
+    def push(self, tag, kinds):
+        self.stack.append((tag, kinds))
+        self.tags[tag] += 1
+        for name in above_names(tag, kinds):
+            self.counts[name] += 1
+        if tag not in INLINE:
+            self.own.append(tag)
+
+    def pop(self):
+        tag, kinds = self.stack.pop()
+        self.tags[tag] -= 1
+        for name in above_names(tag, kinds):
+            self.counts[name] -= 1
+        if tag not in INLINE:
+            self.own.pop()
+
+    def close(self, tag):
+        """Close the innermost element of this tag and what is open inside; nothing if there is none."""
+        if self.tags[tag]:
+            while self.stack[-1][0] != tag:
+                self.pop()
+            self.pop()
+
+    def features(self):
+        return (*("own:" + t for t in self.own[-1:]), *sorted(name for name, n in self.counts.items() if n))
+
+
 def blocks(page: str):
-    """Leaf blocks in page order: (text, share of it in links, ancestors from the root as (tag, marks))."""
-    out, stack, text, linked, link = [], [], [], 0, 0
+    """Leaf blocks in page order: (text, share of it in links, features of the ancestors). Time and space are linear in the page."""
+    out, above, text, linked, link = [], Ancestors(), [], 0, 0
+    stack = above.stack
 
     def end():
         nonlocal linked
         said = SPACE.sub(" ", html.unescape("".join(text))).strip()
         if said:
-            out.append((said, min(1.0, linked / len(said)), tuple(stack)))
+            out.append((said, min(1.0, linked / len(said)), above.features()))
         text.clear()
         linked = 0
 
@@ -84,15 +126,12 @@ def blocks(page: str):
         if tag in VOID:
             continue
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
-                    break
+            above.close(tag)
         else:
             shut = CLOSES.get(tag, set()) | ({"p"} if tag in CLOSE_P else set())
             while shut and stack and (stack[-1][0] in shut or stack[-1][0] in INLINE and any(t in shut for t, _ in stack[-3:])):
-                stack.pop()
-            stack.append((tag, marks(m[3]) if m[3] else ()))
+                above.pop()
+            above.push(tag, marks(m[3]) if m[3] else ())
         link = any(t == "a" for t, _ in stack[-4:])
     end()
     return out
@@ -100,13 +139,8 @@ def blocks(page: str):
 
 def features(block):
     """Names of a block's features."""
-    text, linked, ancestors = block
-    out = ["bias"]
-    tags = [t for t, _ in ancestors if t not in INLINE]
-    if tags:
-        out.append("own:" + tags[-1])
-        out += {"in:" + t for t in tags if t in SHOWN}
-    out += {"mark:" + k for _, kinds in ancestors for k in kinds}
+    text, linked, above = block
+    out = ["bias", *above]
     words = text.count(" ") + 1
     out.append("words:" + ("1" if words == 1 else "2" if words < 5 else "5" if words < 15 else "15" if words < 40 else "40"))
     out.append("links:" + ("none" if linked == 0 else "some" if linked < 0.5 else "most"))

@@ -145,6 +145,33 @@ def test_field_on_layouts_it_has_not_seen(field):
     assert right / total > 0.98
 
 
+@pytest.mark.parametrize("piece", ["<div>x", "<div><b>x</i>", "<p>x<li>y<td>"])
+def test_pages_of_unclosed_elements_take_linear_time(field, piece):
+    import time
+    start = time.perf_counter()
+    html_crf.main_text(piece * (1_000_000 // len(piece)), field)
+    assert time.perf_counter() - start < 10
+
+
+def test_ancestor_features_equal_those_of_the_open_elements():
+    import random
+    r = random.Random(3)
+    for _ in range(200):
+        above, open_ = html_crf.Ancestors(), []
+        for _ in range(60):
+            tag, kinds = r.choice(["div", "b", "main", "ul", "li", "x-y"]), r.choice([(), ("menu",), ("menu", "ad"), ("main",)])
+            if r.random() < 0.6:
+                above.push(tag, kinds)
+                open_.append((tag, kinds))
+            else:
+                above.close(tag)
+                at = max((i for i, (t, _) in enumerate(open_) if t == tag), default=len(open_))
+                del open_[at:]
+            plain = [t for t, _ in open_ if t not in html_crf.INLINE]
+            want = {"own:" + t for t in plain[-1:]} | {"in:" + t for t in plain if t in html_crf.SHOWN} | {"mark:" + k for _, ks in open_ for k in ks}
+            assert set(above.features()) == want and len(above.features()) == len(want)
+
+
 def test_viterbi_equals_enumeration(field):
     import itertools
     page = [b for b, _ in html_crf.Labelled(5).examples(1)[0]][:8]
