@@ -1,10 +1,10 @@
 """Exact top-k by inner product without random access.
 
 Vectors are packed into blocks. Each block keeps one list per dimension, sorted by value. A query reads all lists of a
-block in step, each from the end that helps its score, and holds for every vector seen a lower and an upper bound of the
-score: what was read, plus the worst or the best that the unread part of a list can add. Reading stops when no vector
-outside a small set can still qualify; the scores of that set are then resolved. The k best of all
-blocks are merged by rank.
+block in step, slice by slice, each from the end that helps its score. It holds for every vector a lower bound of the score, a running sum:
+what was read, plus the worst that the unread lists can add. The upper bound adds, for every unread list, the distance from that worst to the
+value at the frontier. Reading stops as soon as no vector outside the k with the best lower bounds can still qualify, or at the end of the lists,
+where bounds are scores; the scores of the vectors that are left are then resolved. The k best of all blocks are merged by rank.
 """
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,7 @@ from opsloom.llm.common import settled, tasks
 
 BLOCK = 4096
 QUERY_BLOCK = 512
-DEPTHS = (0.375, 0.625, 0.75, 0.875)
+SLICE = 256
 
 
 def quantised(vectors: DataFrame, key="vec_id", column="embedding", scale=256) -> DataFrame:
@@ -44,7 +44,7 @@ def matrix(own):
 
 class Block:
     """Sorted lists of a block of vectors. `ends` has the values of each list in order, `rank` the place of each component in its list. What
-    queries have read after some steps from either end of a list is the same for all of them, so a batch of queries is advanced by one product."""
+    queries read in a step from either end of a list is the same for all of them, so a batch of queries is advanced by one product with that slice."""
 
     def __init__(self, rows, ids, vectors):
         self.rows, self.ids, self.vectors = rows, ids, vectors
@@ -53,52 +53,53 @@ class Block:
         self.rank = np.empty(order.shape, np.int32)
         np.put_along_axis(self.rank, order, np.arange(len(ids), dtype=np.int32)[:, None], 0)
 
-    def bounds(self, depth: int, plus: np.ndarray, minus: np.ndarray):
-        """Upper and lower bounds (vector x query) of scores after `depth` entries of each list, read from its end for a positive weight and
-        from its start for a negative one: what was read, and for the rest the value at the frontier or at the far end."""
+    def read(self, done: int, depth: int):
+        """What the entries from `done` to `depth` of each list add to lower bounds (vector x list): their distance to the far end of the list.
+        The first half of the columns is read from the end, for positive weights, the other from the start."""
         n = len(self.ids)
-        late, early = (self.rank >= n - depth).astype(np.float32), (self.rank < depth).astype(np.float32)
-        x = self.vectors.astype(np.float32)
-        known = np.hstack([x * late, x * early, late, early])
+        late = (self.rank >= n - depth) & (self.rank < n - done)
+        early = (self.rank >= done) & (self.rank < depth)
+        return np.hstack([np.where(late, self.vectors - self.ends[0], 0.0), np.where(early, self.vectors - self.ends[-1], 0.0)])
 
-        def bound(high, low):
-            unread_p, unread_m = plus * high, minus * low
-            weights = np.hstack([plus, minus, -unread_p, -unread_m]).astype(np.float32)
-            return known @ weights.T + (unread_p.sum(1) + unread_m.sum(1))
-
-        return bound(self.ends[n - depth], self.ends[depth - 1]), bound(self.ends[0], self.ends[-1])
+    def unread(self, depth: int):
+        """(vector x list) what is not read yet, and per list the distance from the frontier to the far end."""
+        n = len(self.ids)
+        return np.hstack([self.rank < n - depth, self.rank >= depth]).astype(float), self.ends[n - depth] - self.ends[0], self.ends[depth - 1] - self.ends[-1]
 
-    def top(self, owns, queries: np.ndarray, k: int):
+    def qualified(self, owns, queries: np.ndarray, k: int, step: int):
+        """Per query, as (number, places of the vectors that can be among its k best, depth at which reading stopped)."""
+        n = len(self.ids)
+        plus, minus = np.maximum(queries, 0).astype(float), np.minimum(queries, 0).astype(float)
+        lower = np.repeat((plus @ self.ends[0] + minus @ self.ends[-1])[None], n, 0)
+        lower[self.rows[:, None] == owns[None]] = -np.inf
+        # Rounding of the bounds; nothing below 2**53, where sums of integers are exact.
+        slack = 1e-12 * (np.abs(queries) @ np.abs(self.ends).max(0))
+        live, depth = np.arange(len(owns)), 0
+        while len(live):
+            done, depth = depth, min(n, depth + step)
+            weights = np.hstack([plus[live], minus[live]])
+            lower += self.read(done, depth) @ weights.T
+            rest, high, low = self.unread(depth)
+            upper = lower + rest @ (weights * np.hstack([high, low])).T
+            floor = np.partition(lower, n - k, axis=0)[n - k] if n > k else np.full(len(live), -np.inf)
+            able = (upper >= floor - slack[live]) & np.isfinite(lower)
+            stop = (able.sum(0) <= k) | (depth == n)
+            for column in np.flatnonzero(stop).tolist():
+                yield int(live[column]), np.flatnonzero(able[:, column]), depth
+            live, lower = live[~stop], lower[:, ~stop]
+
+    def top(self, owns, queries: np.ndarray, k: int, step: int = SLICE):
         """Per query the k best (score, id) other than the query's own row, ties to the smaller id."""
+        owns = np.asarray(owns)
         n, width = self.vectors.shape
         queries = np.pad(queries, ((0, 0), (0, max(0, width - queries.shape[1]))))[:, :width]
-        rest = [np.flatnonzero(self.rows != own) for own in owns]
         if n == 0 or width == 0:
-            return [[(0, int(i)) for i in sorted(self.ids[r].tolist())[:k]] for r in rest]
-        # Single precision may be off by this much; the scores that decide are exact.
-        slack = 1 + 4e-5 * (np.abs(queries) * np.abs(self.ends).max(0)).sum(1)
-        live = np.arange(len(owns))
-        for part in DEPTHS:
-            depth = int(n * part)
-            if depth == 0 or not len(live):
-                continue
-            q = queries[live]
-            upper, lower = self.bounds(depth, np.maximum(q, 0), np.minimum(q, 0))
-            on = []
-            for column, j in enumerate(live.tolist()):
-                allowed = rest[j] if len(rest[j]) < n - 1 else np.flatnonzero(self.rows != owns[j])
-                if len(allowed) <= k:
-                    continue
-                floor = np.partition(lower[allowed, column], -k)[-k]
-                rest[j] = allowed[upper[allowed, column] >= floor - 2 * slack[j]]
-                if len(rest[j]) > max(4 * k, n // 8):
-                    on.append(j)
-            live = np.array(on, int)
-        out = []
-        for j in range(len(owns)):
-            score = self.vectors[rest[j]] @ queries[j]
-            best = np.lexsort((self.ids[rest[j]], -score))[:k]
-            out.append([(int(score[i]), int(self.ids[rest[j][i]])) for i in best])
+            return [[(0, int(i)) for i in sorted(self.ids[self.rows != own].tolist())[:k]] for own in owns]
+        out = [[] for _ in owns]
+        for j, left, _ in self.qualified(owns, queries, k, step):
+            score = self.vectors[left] @ queries[j]
+            best = np.lexsort((self.ids[left], -score))[:k]
+            out[j] = [(int(score[i]), int(self.ids[left[i]])) for i in best]
         return out
 
 
@@ -106,7 +107,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK
     """Rows (query_id, rank, vec_id, score) for quantised queries against quantised vectors (row, vec_id, q).
 
     A row is never its own query's answer; rows that share an id are queries and answers of their own. Shorter vectors count as padded with zeros. Fewer than k candidates give
-    fewer rows; empty tables give none. Sums are exact while components stay below 2**23 in size.
+    fewer rows; empty tables give none. Scores are exact while they and their parts stay below 2**63, that is for components below 2**28 at
+    64 dimensions; beyond, an OverflowError tells so.
     """
     n_vectors, n_queries = vectors.count(), queries.count()
     blocks, query_blocks = max(1, -(-n_vectors // block)), max(1, -(-n_queries // query_block))
@@ -121,6 +123,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK
             for i in range(batch.num_rows):
                 rows, ids, vectors = matrix(batch.column("asked")[i].as_py())
                 own = Block(*matrix(batch.column("own")[i].as_py()))
+                if vectors.size and own.vectors.size and int(np.abs(vectors).max()) * int(np.abs(own.vectors).max()) * vectors.shape[1] >= 2 ** 63:
+                    raise OverflowError("scores of these vectors can exceed a long")
                 found = [(r, q, v, s) for r, q, best in zip(rows.tolist(), ids.tolist(), own.top(rows.tolist(), vectors, k)) for s, v in best]
                 yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], pa.int64()) for j in range(4)], schema=schema)
 

@@ -130,6 +130,28 @@ def test_top_k_equals_brute_force(spark):
     assert few.count() == 4 and topk.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_lists_are_read_in_order_until_no_outsider_qualifies():
+    r = np.random.default_rng(2)
+    x = r.integers(-50, 50, (400, 6))
+    x[:5] += 1000
+    x[5:9] -= 1000
+    q = np.array([[3, 2, 1, 5, 4, 2], [-3, -2, -1, -5, -4, -2], [1, -1, 2, -2, 0, 0], [0] * 6])
+    block = topk.Block(np.arange(400), np.arange(400), x.astype(np.int64))
+    asked, read = [], block.read
+    block.read = lambda done, depth: asked.append((done, depth)) or read(done, depth)
+    found = {j: (set(left.tolist()), depth) for j, left, depth in block.qualified(np.array([-1, 7, 3, 0]), q, 3, 20)}
+    assert asked == [(d, d + 20) for d in range(0, asked[-1][1], 20)]
+    for j, own in enumerate((-1, 7, 3, 0)):
+        score = x @ q[j]
+        kth = sorted((int(s) for i, s in enumerate(score) if i != own), reverse=True)[2]
+        assert {i for i, s in enumerate(score) if s > kth and i != own} <= found[j][0] and own not in found[j][0]
+    assert found[0][1] < 400 and found[1][1] < 400 and len(found[0][0]) == 3 and found[3] == (set(range(1, 400)), 400)
+    for step in (1, 7, 400, 1000):
+        for j, got in enumerate(block.top([-1, 7, 3, 0], q, 3, step)):
+            want = sorted((-int(s), i) for i, s in enumerate(x @ q[j]) if i != (-1, 7, 3, 0)[j])[:3]
+            assert got == [(-s, i) for s, i in want]
+
+
 # ---------------------------------------------------------------- pages
 
 @pytest.fixture(scope="module")
