@@ -4,12 +4,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from checks import fleet as fleet_checks, marts
+from checks import fleet as fleet_checks, jobs, marts
 from checks.registry import oracle, query
 from opsloom import schemas
 from opsloom.operators import quality, staging
 from opsloom.operators.baseline import anomaly_report
-from opsloom.plans import costs, fleet, freshness, services
+from opsloom.plans import costs, fleet, freshness, scripts, services
 from opsloom.session import checkpoint_dir
 from opsloom.sources import sinks, tables
 from opsloom.sources.adapters import EVENTS_AS_OF
@@ -350,3 +350,78 @@ def st05(t):
     latest = hours.groupBy("cluster_name", "environment", "event_hour").agg(
         F.max_by(F.struct("availability_score", "avg_readiness_score", "event_count"), "batch").alias("s"))
     return latest.select("cluster_name", "environment", "event_hour", "s.*")
+
+
+# ---------------------------------------------------------------- scripts
+
+DAY = "DATE '2024-01-25'"
+
+
+def script(t, name, **parameters):
+    return scripts.run_script(t.spark, name, {n: getattr(t, n) for n in scripts.SCRIPTS[name].tables}, scan_date="2024-01-25", **parameters)
+
+
+@query("S05_extract_job_metadata", oracle(
+    f"""SELECT z.job_id, z.canonical_job_id, z.workload_type, z.execution_date, z.duration_seconds, {jobs.Z_COLS}, {jobs.RES_COLS},
+               {jobs.IMP_COLS}, TIMESTAMP '2024-01-31 00:00:00' AS extracted_at
+        FROM zscored z LEFT JOIN resources r ON r.job_id = z.job_id AND r.log_date = z.execution_date
+        LEFT JOIN impact i ON i.job_id = z.job_id AND i.execution_date = z.execution_date WHERE z.execution_date = {DAY}""",
+    *jobs.EXTRACT, d="execution_date", t="extracted_at", f=jobs.BASELINE_F + " duration_seconds duration_z_score " + jobs.RES_F))
+def s05_extract(t):
+    return script(t, "extract_job_metadata", as_of="2024-01-31 00:00:00").select(
+        "job_id", "canonical_job_id", "workload_type", "execution_date", "duration_seconds", *jobs.Z_COLS.split(", "), *jobs.RES_COLS.split(", "),
+        *jobs.IMP_COLS.split(", "), "extracted_at")
+
+
+@query("S05_infra_event_correlation", oracle(
+    "SELECT o.*, p.anomalous_job_count, p.avg_z_score, p.avg_duration_s FROM overlap o JOIN pattern p ON p.start_hour = o.event_hour",
+    *jobs.EXTRACT, jobs.LONG.replace("duration_z_score > 2)", f"duration_z_score > 2 AND execution_date = {DAY})"), jobs.OVERLAP, jobs.PATTERN,
+    f="avg_anomaly_zscore avg_z_score avg_duration_s", i="event_hour"))
+def s05_correlation(t):
+    return script(t, "infra_event_correlation")
+
+
+@query("S05_resource_utilisation", oracle(
+    f"""SELECT * FROM (
+          SELECT *, lag(daily_compute_cost_usd) OVER w AS prev_day_cost_usd,
+                 (daily_compute_cost_usd - lag(daily_compute_cost_usd) OVER w) / NULLIF(lag(daily_compute_cost_usd) OVER w, 0) * 100 AS cost_change_pct
+          FROM usage WINDOW w AS (PARTITION BY workload_type, team, cloud_provider, environment, node_type ORDER BY summary_date))
+        WHERE summary_date = {DAY}""",
+    "job_metadata", "resource_allocation_logs", jobs.USAGE, d="summary_date", f=jobs.USAGE_F + " prev_day_cost_usd cost_change_pct"))
+def s05_utilisation(t):
+    return script(t, "resource_utilisation")
+
+
+@query("X06_sql_macros", oracle(
+    """SELECT event_id, value / NULLIF(event_id % 3, 0) AS plain, CASE WHEN event_id % 3 = 0 THEN -1 ELSE value / (event_id % 3) END AS fallback,
+              CAST(date_trunc('week', ts + INTERVAL 1 DAY) AS DATE) - 1 AS week_start, CAST(date_trunc('quarter', ts) AS DATE) AS quarter_start,
+              CASE WHEN value / 50 >= 1 AND event_id % 5 * 0.04 <= 0.05 AND event_id % 7 * 20 <= 60 THEN 'Elite'
+                   WHEN value / 50 >= 1 / 7.0::DOUBLE AND event_id % 5 * 0.04 <= 0.10 THEN 'High'
+                   WHEN value / 50 >= 1 / 30.0::DOUBLE AND event_id % 5 * 0.04 <= 0.15 THEN 'Medium' ELSE 'Low' END AS tier
+       FROM events""", f="plain fallback", d="week_start quarter_start"))
+def x06_macros(t):
+    scripts.register_macros(t.spark)
+    tables.register_views({"raw_events": t.raw("events")})
+    return t.spark.sql("""
+        SELECT event_id, safe_divide(value, event_id % 3) AS plain, safe_divide_or(value, event_id % 3, -1) AS fallback,
+               date_trunc_safe('week', ts) AS week_start, date_trunc_safe('quarter', ts) AS quarter_start,
+               dora_tier(value / 50, event_id % 5 * 0.04D, event_id % 7 * 20) AS tier FROM raw_events""")
+
+
+@query("X06_sql_zscores", oracle(
+    """SELECT cluster_name, environment, event_hour,
+              (avg_readiness_score - avg(avg_readiness_score) OVER w) / NULLIF(stddev_pop(avg_readiness_score) OVER w, 0) AS z,
+              (avg_readiness_score - avg(avg_readiness_score) OVER r) / CASE WHEN stddev_pop(avg_readiness_score) OVER r > 1e-9 THEN stddev_pop(avg_readiness_score) OVER r END AS rolling_z
+       FROM hourly_fleet WINDOW w AS (PARTITION BY cluster_name, environment),
+            r AS (PARTITION BY cluster_name, environment ORDER BY event_hour ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)""",
+    *fleet_checks.FLEET, t="event_hour", f="z rolling_z"))
+def x06_zscores(t):
+    scripts.register_macros(t.spark)
+    tables.register_views({"hourly_fleet": fleet.hourly_fleet(staging.fleet_telemetry(t.fleet_telemetry))})
+    return t.spark.sql("""
+        SELECT cluster_name, environment, event_hour, zscore(avg_readiness_score, mean, deviation) AS z,
+               rolling_zscore(avg_readiness_score, rolling_mean, rolling_deviation) AS rolling_z
+        FROM (SELECT *, avg(avg_readiness_score) OVER w AS mean, stddev_pop(avg_readiness_score) OVER w AS deviation,
+                     avg(avg_readiness_score) OVER r AS rolling_mean, stddev_pop(avg_readiness_score) OVER r AS rolling_deviation
+              FROM hourly_fleet WINDOW w AS (PARTITION BY cluster_name, environment),
+                   r AS (PARTITION BY cluster_name, environment ORDER BY event_hour ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))""")

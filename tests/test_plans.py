@@ -86,3 +86,38 @@ def test_one_exchange_for_a_line_of_time(spark):
     line = [x for x in plan.splitlines() if "REPARTITION_BY_NUM" in x]
     assert len(line) == 3 and sum("ReusedExchange" in x for x in line) == 2
     assert "ExistingRDD" not in plan
+
+
+def test_scripts_bind_their_parameters_and_name_what_is_missing(spark):
+    import pytest
+    from opsloom.plans import scripts
+    from opsloom.schemas import JOB_METADATA, RESOURCE_ALLOCATION_LOGS
+    tables = {"job_metadata": spark.createDataFrame([], JOB_METADATA), "resource_allocation_logs": spark.createDataFrame([], RESOURCE_ALLOCATION_LOGS)}
+    with pytest.raises(ValueError, match="without a value: scan_date"):
+        scripts.run_script(spark, "resource_utilisation", tables)
+    with pytest.raises(ValueError, match="unknown parameters: day"):
+        scripts.run_script(spark, "resource_utilisation", tables, day="2024-01-01")
+    with pytest.raises(ValueError, match="missing tables: infrastructure_events"):
+        scripts.run_script(spark, "infra_event_correlation", tables, scan_date="2024-01-01")
+    assert scripts.run_script(spark, "resource_utilisation", tables, scan_date="2024-01-01").count() == 0
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        scripts.run_script(spark, "resource_utilisation", tables, scan_date="2024-01-01' OR true --").collect()
+
+
+def test_a_script_of_ones_own_and_its_days(spark):
+    from opsloom.plans.scripts import Script, run_script
+    days = spark.sql("SELECT id, date_add(DATE '2024-01-01', CAST(id % 3 AS INT)) AS day FROM range(9)")
+    own = Script(("days",), [("of_day", "SELECT id FROM days WHERE day = CAST(:day AS DATE)"),
+                             ("doubled", lambda view, args: view("of_day").selectExpr(f"id * {args['factor']} AS id")),
+                             ("result", "SELECT safe_divide(sum(id), count(*)) AS mean FROM doubled")], {"day": None, "factor": 2})
+    assert run_script(spark, own, {"days": days}, day="2024-01-02").first().mean == 8
+    assert run_script(spark, own, {"days": days}, day="2024-01-03", factor=1).first().mean == 5
+
+
+def test_macros_give_null_for_zero_and_null(spark):
+    from opsloom.plans.scripts import register_macros
+    register_macros(spark)
+    row = spark.sql("""SELECT safe_divide(1, 0) AS a, safe_divide(NULL, 2) AS b, safe_divide_or(1, 0, 7) AS c, zscore(3, 1, 0) AS d, zscore(3, 1, 2) AS e,
+        rolling_zscore(1, 0, 1e-12) AS f, date_trunc_safe('month', NULL) AS g, CAST(date_trunc_safe('week', TIMESTAMP '2024-01-03 05:00:00') AS STRING) AS h,
+        dora_tier(NULL, 0, 0) AS i, dora_tier(1, 0.05, 60) AS j""").first()
+    assert tuple(row) == (None, None, 7.0, None, 1.0, None, None, "2023-12-31", "Low", "Elite")
