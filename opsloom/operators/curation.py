@@ -4,7 +4,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from opsloom.functions import safe_divide, stable_round
-from opsloom.operators.quality import combined, distinct_count
+from opsloom.operators.distinct import distinct_counts
+from opsloom.operators.quality import combined
 
 MAX_AGE_HOURS = 25
 
@@ -28,7 +29,7 @@ class ColumnSpec:
 
 def validate(df: DataFrame, schema: list[ColumnSpec]) -> DataFrame:
     """One message per violation; no rows when the table is valid."""
-    static, aggregates, messages, parts = [], [], [], []
+    static, aggregates, messages, unique = [], [], [], {}
     for s in schema:
         if s.name not in df.columns:
             static.append(f"no such column: {s.name}")
@@ -43,13 +44,13 @@ def validate(df: DataFrame, schema: list[ColumnSpec]) -> DataFrame:
                 F.lit(f"{s.name} may not be null; rows: "), n.cast("string"))))
         if s.unique:
             i = len(aggregates)
-            parts.append(distinct_count(df, s.name, f"_d{i}"))
+            unique[f"_d{i}"] = s.name
             aggregates.append((F.count(F.lit(1)) - F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))).alias(f"_m{i}"))
             n = F.col(f"_m{i}") - F.col(f"_d{i}")
             messages.append(F.when(n > 0, F.concat(
                 F.lit(f"{s.name} may not repeat; rows: "), n.cast("string"))))
     every = F.array(*[F.lit(m) for m in static], *messages, F.lit(None).cast("string"))
-    found = combined(df.agg(F.count(F.lit(1)).alias("_rows"), *aggregates), *parts)
+    found = combined(df.agg(F.count(F.lit(1)).alias("_rows"), *aggregates), *([distinct_counts(df, unique)] if unique else []))
     return found.select(F.explode(every).alias("message")).where(F.col("message").isNotNull())
 
 
@@ -60,7 +61,7 @@ def quality_score(df: DataFrame, schema: list[ColumnSpec], as_of, ts_column=None
     keys = [s.name for s in schema if s.unique]
     present = [k for k in keys if k in df.columns]
     aggregates = [F.count(F.lit(1)).alias("_rows"), nulls.alias("_nulls")]
-    parts = [distinct_count(df, k, f"_d{i}") for i, k in enumerate(present)]
+    parts = [distinct_counts(df, {f"_d{i}": k for i, k in enumerate(present)})] if present else []
     fresh = F.lit(True)
     if ts_column and ts_column in df.columns:
         aggregates.append(F.max(F.col(ts_column).cast("timestamp")).alias("_latest"))

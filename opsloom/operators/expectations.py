@@ -1,7 +1,8 @@
 """Declarative expectations about one table, evaluated in one aggregation."""
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from opsloom.operators.quality import combined, distinct_count
+from opsloom.operators.distinct import distinct_counts
+from opsloom.operators.quality import combined
 from opsloom.params import ENVIRONMENTS, FLEET_EVENT_TYPES, SEVERITIES
 
 # The expectations on staged fleet events.
@@ -72,5 +73,5 @@ def evaluate(df: DataFrame, expectations=STAGED_EVENTS) -> DataFrame:
         results.append(F.struct(
             F.lit(i + 1).alias("no"), F.lit(kind).alias("kind"), F.lit(column).cast("string").alias("column"),
             observed.alias("observed"), passed.alias("passed")))
-    parts = [distinct_count(df, column, name) for name, column in distincts.items()]
+    parts = [distinct_counts(df, distincts)] if distincts else []
     return combined(df.agg(*[c.alias(n) for n, c in measures.items()]), *parts).select(F.inline(F.array(*results)))

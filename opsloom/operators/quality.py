@@ -2,6 +2,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from opsloom.operators.cleansing import as_utc
+from opsloom.operators.distinct import distinct_counts
 from opsloom.params import EXPECTED_WORKLOADS, JOB_IDENTITY, RESOURCE_BOUNDS
 
 CRITICAL, WARNING, INFO = "CRITICAL", "WARNING", "INFO"
@@ -19,13 +20,6 @@ def combined(*parts: DataFrame) -> DataFrame:
     return out.agg(*[F.max(c).alias(c) for c in out.columns]) if len(parts) > 1 else out
 
 
-def distinct_count(df: DataFrame, column: str, name: str) -> DataFrame:
-    """One row: the different non-null values of a column. Only a hash of texts is shuffled."""
-    c = F.col(f"`{column}`")
-    key = F.sha2(c, 256) if df.schema[column].dataType.typeName() == "string" else c
-    return df.select(key.alias("_k")).groupBy("_k").agg(F.lit(1).alias("_one")).agg(F.count("_k").alias(name))
-
-
 class _Battery:
     """Collects aggregates and the checks that read them."""
 
@@ -49,7 +43,7 @@ class _Battery:
         self.add(name, True, INFO, why)
 
     def run(self, df: DataFrame) -> DataFrame:
-        parts = [distinct_count(df, column, name) for name, column in self.distinct.items()]
+        parts = [distinct_counts(df, self.distinct)] if self.distinct else []
         return combined(df.agg(*self.aggregates.values()), *parts).select(F.inline(F.array(*self.checks)))
 
 

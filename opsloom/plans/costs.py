@@ -2,22 +2,17 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from opsloom.functions import month_start, pct_change, stable_round, surrogate_key, week_start
+from opsloom.operators.distinct import distinct_counts
 
 TEAM_KEYS = ["team", "environment", "cost_category", "cloud_provider"]
 SPIKE = 0.20
 
 
 def daily_costs(costs: DataFrame) -> DataFrame:
-    """Cost, lines, services and resources per team, environment, category, provider and day. Lines are first reduced
-    to one row per service and resource, so that only those are expanded for the distinct counts."""
-    lines = costs.groupBy(*TEAM_KEYS, "cost_date", "service_name", "resource_id").agg(
-        F.sum("cost_usd").alias("_cost"), F.count(F.lit(1)).alias("_lines"))
-    return lines.groupBy(*TEAM_KEYS, "cost_date").agg(
-        F.sum("_cost").alias("total_cost_usd"),
-        F.sum("_lines").alias("line_item_count"),
-        F.count_distinct("service_name").alias("service_count"),
-        F.count_distinct("resource_id").alias("resource_count"),
-    )
+    """Cost, lines, services and resources per team, environment, category, provider and day, from one scan."""
+    return distinct_counts(
+        costs, {"service_count": "service_name", "resource_count": "resource_id"}, [*TEAM_KEYS, "cost_date"],
+        {"total_cost_usd": F.col("cost_usd"), "line_item_count": F.lit(1).cast("bigint")})
 
 
 def infra_cost_by_team(costs: DataFrame) -> DataFrame:

@@ -55,12 +55,12 @@ def test_lookup_broadcasts_only_below_the_bound(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_distinct_counts_expand_only_reduced_lines(spark, stored):
+def test_distinct_counts_reduce_in_tasks_and_scan_once(spark, stored):
     df = costs.daily_costs(staging.cost_events(spark.read.parquet(f"{stored}/cost_events")))
-    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
-    expand = next(i for i, x in enumerate(lines) if "Expand" in x)
-    below = "\n".join(lines[expand:])
-    assert below.count("HashAggregate(keys=[team") >= 2 and "resource_id" in below
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Scan parquet") == 1 and "Expand" not in text and text.count("Exchange") == 2
+    values = text[text.rindex("Exchange"):]  # below the exchange of values: the partial aggregation of a task
+    assert "partial_sum" in values and "Generate explode" in values
 
 
 def test_bytes_bound_a_broadcast(spark, monkeypatch):
@@ -121,3 +121,15 @@ def test_macros_give_null_for_zero_and_null(spark):
         rolling_zscore(1, 0, 1e-12) AS f, date_trunc_safe('month', NULL) AS g, CAST(date_trunc_safe('week', TIMESTAMP '2024-01-03 05:00:00') AS STRING) AS h,
         dora_tier(NULL, 0, 0) AS i, dora_tier(1, 0.05, 60) AS j""").first()
     assert tuple(row) == (None, None, 7.0, None, 1.0, None, None, "2023-12-31", "Low", "Elite")
+
+
+def test_distinct_counts_of_several_columns(spark):
+    from opsloom.operators.distinct import distinct_counts
+    rows = [("a", "x", 1, 0.0, 2.0), ("a", "x", 2, -0.0, 3.0), ("a", None, 2, None, None), ("b", "y", None, 1.0, 1.0), (None, "x", 1, 1.0, 5.0), ("a", "", 2, 2.0, 1.0)]
+    df = spark.createDataFrame(rows, "k string, t string, n long, d double, cost double").withColumn("s", F.struct("t", "n"))
+    got = distinct_counts(df, {"texts": "t", "numbers": "n", "doubles": "d", "pairs": "s"}, ["k"], {"cost": F.col("cost"), "lines": F.lit(1).cast("long")})
+    assert {r.k: tuple(r)[1:] for r in got.collect()} == {"a": (6.0, 4, 2, 2, 2, 4), "b": (1.0, 1, 1, 0, 1, 1), None: (5.0, 1, 1, 1, 1, 1)}
+    assert distinct_counts(df, {"texts": "t", "numbers": "n"}).first() == (3, 2)
+    long = spark.createDataFrame([("x" * 64,), ("x" * 64,), ("x" * 65,), ("x" * 63,)], "t string")
+    assert distinct_counts(long, {"texts": "t"}).first() == (3,)
+    assert distinct_counts(df.limit(0), {"texts": "t"}).first() == (0,) and distinct_counts(df.limit(0), {"texts": "t"}, ["k"]).count() == 0
