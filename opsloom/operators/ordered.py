@@ -9,7 +9,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, Window, functions as F, types as T
 
 from opsloom.operators.lookup import BROADCAST_ROWS, lookup_join
 from opsloom.session import settled
@@ -20,20 +20,27 @@ BLOCK = 65_536
 SAMPLE = 64
 
 
-def splitters(df: DataFrame, order_by, ranges: int) -> list:
+def splitters(df: DataFrame, order_by, ranges: int, each: int | None = None) -> list:
     """Up to `ranges` - 1 rows of the sort columns that cut df into ranges of similar size, from one sample of fixed size. Any
-    splitters give right results; a poor sample only makes ranges uneven."""
+    splitters give right results; a poor sample only makes ranges uneven. With `each`, no more ranges are made than give that many rows
+    to each (rows are counted as the sample is taken), but one for each core."""
     if ranges < 2:
         return []
-    taken = df.select(*order_by).withColumn("_at", F.rand(11)).orderBy("_at").limit(SAMPLE * ranges).drop("_at")
+    places, seen = df.select(*order_by), Observation()
+    if each is not None:
+        places = places.observe(seen, F.count(F.lit(1)).alias("rows"))
+    taken = places.withColumn("_at", F.rand(11)).orderBy("_at").limit(SAMPLE * ranges).drop("_at")
     rows = taken.orderBy(*order_by).collect()
+    if each is not None:
+        ranges = min(ranges, max(seen.get["rows"] // each + 1, df.sparkSession.sparkContext.defaultParallelism))
     cuts = [rows[len(rows) * i // ranges] for i in range(1, ranges)] if rows else []
     return [row for i, row in enumerate(cuts) if i == 0 or row != cuts[i - 1]]
 
 
-def range_of(cuts: list, types) -> F.Column:
-    """Number of the range of a row: how many splitters are not behind it, by binary search in a tree of comparisons."""
-    row = F.struct(*[F.col(f.name) for f in types])
+def range_of(cuts: list, types, places=None) -> F.Column:
+    """Number of the range of a row: how many splitters are not behind it, by binary search in a tree of comparisons. `places` stands
+    for the sort columns where they have other names."""
+    row = F.struct(*[(F.col(f.name) if places is None else place).cast(f.dataType).alias(f.name) for f, place in zip(types, places or types)])
 
     def literal(cut):
         return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut, types)])
@@ -111,7 +118,12 @@ def running_totals(df: DataFrame, keys, order_by, columns, whole=(), sample: Dat
     """
     keys, columns = list(keys), list(columns)
     numbered, ranges = with_range(df, [*keys, *order_by], sample)
-    line = numbered.repartition(ranges, "_range")
+    return totals_in_ranges(numbered, numbered.repartition(ranges, "_range"), keys, order_by, columns, whole, ties)
+
+
+def totals_in_ranges(numbered: DataFrame, line: DataFrame, keys, order_by, columns, whole=(), ties=()) -> DataFrame:
+    """`running_totals` of rows with `_range`; `line` are the same rows, dealt out by it."""
+    names = [c for c in numbered.columns if c != "_range"]
     per_range = numbered.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in columns])
     by_key = Window.partitionBy(*keys)
     earlier = by_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -123,7 +135,7 @@ def running_totals(df: DataFrame, keys, order_by, columns, whole=(), sample: Dat
     in_range = Window.partitionBy(*keys, "_range")
     inside = in_range.orderBy(*order_by, *ties, *(columns if ties else [])).rowsBetween(Window.unboundedPreceding, 0)
     summed = line.select(
-        *[c for c in df.columns if c not in columns], "_range", *[F.sum(c).over(inside).alias(c) for c in columns],
+        *[c for c in names if c not in columns], "_range", *[F.sum(c).over(inside).alias(c) for c in columns],
         *[F.sum(c).over(in_range).alias(f"_own_{c}") for c in whole])
     same = F.col("_range") == F.col("_r")
     for k in keys:
@@ -131,7 +143,7 @@ def running_totals(df: DataFrame, keys, order_by, columns, whole=(), sample: Dat
     return summed.join(F.broadcast(carries), same, "left").withColumns({
         **{c: F.col(c) + F.coalesce(f"_before_{c}", F.lit(0)) for c in columns},
         **{f"total_{c}": F.coalesce(f"_whole_{c}", f"_own_{c}") for c in whole},
-    }).select(*df.columns, *[f"total_{c}" for c in whole])
+    }).select(*names, *[f"total_{c}" for c in whole])
 
 
 SELECT_ROWS = 100_000

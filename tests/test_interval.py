@@ -78,3 +78,44 @@ def test_no_interval_or_no_point(data):
     none = j.where("id = 'absent'")
     assert interval_counts(none, p, ["id"], "s", "e", "at", ["g"]).count() == 0
     assert covered_points(p.where("eid = 'absent'"), j, "s", "e", "at").count() == 0
+
+
+def shuffled_rows(df):
+    """Rows written to shuffles by a query that has run, each exchange once."""
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        if name == "ReusedExchange":
+            return 0
+        rows = node.metrics().get("shuffleRecordsWritten")
+        below = node.children()
+        return (rows.get().value() if rows.isDefined() else 0) + sum(walk(below.apply(i)) for i in range(below.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_counts_are_made_where_the_points_are(spark):
+    """Only intervals that cross ranges have rows of their result shuffled."""
+    jobs = spark.sql("SELECT id, timestamp_seconds(id * 60) AS s, timestamp_seconds(id * 60 + 3000) AS e, DATE '2024-01-01' AS d FROM range(2000)")
+    events = spark.sql("SELECT timestamp_seconds(id * 24) AS at, id % 20 AS g, DATE '2024-01-01' AS day FROM range(5000)")
+    for match in ([], [("d", "day")]):
+        got = interval_counts(jobs, events, ["id"], "s", "e", "at", ["g"], match=match)
+        rows = got.collect()
+        assert len(rows) > 39_000 and sum(r.n for r in rows) > 240_000
+        assert shuffled_rows(got) < len(rows)
+
+
+def test_long_intervals_and_keys_of_several_days(spark):
+    """Intervals over many ranges, groups of NaN and null, and keys with an interval on each of two days."""
+    rnd, nan = random.Random(8), float("nan")
+    days = [date(2024, 1, 1), date(2024, 1, 2)]
+    jobs = [(f"j{i // 2}", BASE + timedelta(seconds=(a := rnd.randrange(3000))), BASE + timedelta(seconds=a + rnd.choice([1, 40, 9000])), days[i % 2]) for i in range(120)]
+    events = [(BASE + timedelta(seconds=rnd.randrange(9000)), rnd.choice([1.5, nan, None]), rnd.choice(days)) for _ in range(900)]
+    j = spark.createDataFrame(jobs, "id string, s timestamp, e timestamp, d date").repartition(3)
+    p = spark.createDataFrame(events, "at timestamp, g double, day date").repartition(3)
+    want = Counter((a[0], str(g)) for a in jobs for t, g, day in events if a[1] <= t <= a[2] and a[3] == day)
+    got = interval_counts(j, p, ["id"], "s", "e", "at", ["g"], match=[("d", "day")]).collect()
+    assert {(r.id, str(r.g)): r.n for r in got} == dict(want) and len(got) == len(want)
