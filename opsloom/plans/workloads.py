@@ -121,12 +121,18 @@ def anomalous_jobs(scored: DataFrame, threshold=JOB_ZSCORE_THRESHOLD) -> DataFra
 
 def overlap_summary(jobs: DataFrame, events: DataFrame, groups, tolerance, match=()) -> DataFrame:
     """Per group of events: jobs whose run contains one, events inside any run, and the
-    mean z over all overlaps, from counts per job and group."""
+    mean z over all overlaps, from counts per job and group.
+
+    A job that has one run only is counted where its overlaps are found; only jobs of several runs are told apart by a shuffle.
+    """
     keys = ["job_id", "execution_date", "duration_z_score"]
-    overlaps = Overlaps(jobs.select(*keys, "started_at", "completed_at"), events, keys, "started_at", "completed_at", "event_timestamp",
+    runs = F.struct("execution_date", "duration_z_score")
+    once = jobs.groupBy("job_id").agg((F.min(runs) == F.max(runs)).alias("_once"))
+    jobs = jobs.select(*keys, "started_at", "completed_at").join(once, "job_id", "left").withColumn("_once", F.coalesce("_once", F.lit(False)))
+    overlaps = Overlaps(jobs, events, [*keys, "_once"], "started_at", "completed_at", "event_timestamp",
                         groups, tolerance, tolerance, match, ids="event_id")
     per_group = overlaps.counts().groupBy(*groups).agg(
-        F.count_distinct("job_id").alias("affected_anomalous_jobs"),
+        (F.count_if("_once") + F.count_distinct(F.when(~F.col("_once"), F.col("job_id")))).alias("affected_anomalous_jobs"),
         F.try_divide(F.sum(F.col("duration_z_score") * F.col("n")), F.sum("n")).alias("avg_anomaly_zscore"),
     )
     inside = overlaps.covered().groupBy(*groups).agg(F.count_distinct("event_id").alias("event_count"))

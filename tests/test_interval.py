@@ -119,3 +119,21 @@ def test_long_intervals_and_keys_of_several_days(spark):
     want = Counter((a[0], str(g)) for a in jobs for t, g, day in events if a[1] <= t <= a[2] and a[3] == day)
     got = interval_counts(j, p, ["id"], "s", "e", "at", ["g"], match=[("d", "day")]).collect()
     assert {(r.id, str(r.g)): r.n for r in got} == dict(want) and len(got) == len(want)
+
+
+def test_summary_counts_jobs_without_shuffling_their_pairs(spark):
+    from opsloom.plans.workloads import overlap_summary
+    runs = [(None if i % 50 == 0 else f"j{i - i % 10 if i % 10 == 3 else i}", date(2024, 1, 1), 2 + i / 1000,
+             BASE + timedelta(seconds=30 * i), BASE + timedelta(seconds=30 * i + 2500)) for i in range(600)]
+    events = [(f"e{i}", BASE + timedelta(seconds=5 * i), i % 40) for i in range(4000)]
+    jobs = spark.createDataFrame(runs, "job_id string, execution_date date, duration_z_score double, started_at timestamp, completed_at timestamp")
+    points = spark.createDataFrame(events, "event_id string, event_timestamp timestamp, g long")
+    out = overlap_summary(jobs, points, ["g"], 0)
+    got = {r.g: (r.affected_anomalous_jobs, round(r.avg_anomaly_zscore, 9), r.event_count) for r in out.collect()}
+    want, pairs = {}, 0
+    for g in range(40):
+        hits = [(r, e) for r in runs for e in events[g::40] if r[3] <= e[1] <= r[4]]
+        pairs += len({r for r, _ in hits})
+        want[g] = (len({r[0] for r, _ in hits if r[0]}), round(sum(r[2] for r, _ in hits) / len(hits), 9), len({e[0] for _, e in hits}))
+    assert got == want
+    assert shuffled_rows(out) < 2 * pairs  # points and bounds, each a few times
