@@ -133,3 +133,37 @@ def test_distinct_counts_of_several_columns(spark):
     long = spark.createDataFrame([("x" * 64,), ("x" * 64,), ("x" * 65,), ("x" * 63,)], "t string")
     assert distinct_counts(long, {"texts": "t"}).first() == (3,)
     assert distinct_counts(df.limit(0), {"texts": "t"}).first() == (0,) and distinct_counts(df.limit(0), {"texts": "t"}, ["k"]).count() == 0
+
+
+def test_checksums_deal_rows_in_parts_that_do_not_grow(spark, tmp_path):
+    """The larger the table, the more parts it is dealt in, however many rows share a language."""
+    from checks.registry import QUERIES
+    import checks.catalog  # noqa: F401
+    import random
+    rnd = random.Random(1)
+    rows = [(i, "%0800x" % rnd.getrandbits(3200), "en", "web", 800) for i in range(3000)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def parts(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return parts(node.executedPlan())
+        if "QueryStage" in name:
+            return parts(node.plan())
+        own = node.metrics().get("numPartitions") if name == "AQEShuffleRead" else None
+        below = node.children()
+        return max([own.get().value() if own is not None and own.isDefined() else 0, *[parts(below.apply(i)) for i in range(below.size())]])
+
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10k",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "64",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        for name, want in (("Q15_checksum_ignores_order", (3000, True)), ("Q15_checksum_sees_changes", (3000, True, False))):
+            out = QUERIES[name](spark, str(tmp_path))
+            assert [tuple(r) for r in out.collect()] == [want]
+            assert parts(out._jdf.queryExecution().executedPlan()) > 10
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
