@@ -140,6 +140,17 @@ def test_the_stage_drops_all_near_copies_of_five_words(spark, rows):
     assert len(least) < len(every) - 80 and near_copies.without_near_copies(documents(spark, [])).count() == 0
 
 
+def test_the_stage_links_by_fingerprint_what_shares_no_min_hash_key(spark):
+    """The fingerprints of op7 bring together a pair at 0.8 that none of the bands does."""
+    r = random.Random(21950)
+    tail = ["%05x" % r.getrandbits(20) for _ in range(6)]
+    a, b = (" ".join(["q", "r", "s"] * 200 + t) for t in (tail, [*tail[:-1], "other"]))
+    x, y = (near_copies.shingles(t.encode()) for t in (a, b))
+    assert near_copies.similar(x, y) and not (near_copies.band_keys(near_copies.minima(x)) == near_copies.band_keys(near_copies.minima(y))).any()
+    out = near_copies.without_near_copies(documents(spark, [(1, a), (2, b), (3, "another text of some more words than five")]))
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3]
+
+
 def test_fingerprint_by_definition():
     import xxhash
     text = "Be  be\x0bBE x É"
