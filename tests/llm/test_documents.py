@@ -52,6 +52,20 @@ def test_exact_groups(spark, rows):
     assert len(kept) == len(groups) and all(r[0] == r[1] for r in kept)
 
 
+def test_exact_groups_of_partitions_of_several_batches(spark):
+    texts = [f"text  {i % 7}" for i in range(60)]
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        df = documents(spark, list(enumerate(texts))).repartition(3)
+        got = sorted(tuple(r)[:4] for r in exact_dedup.exact_groups(df, fan=2).collect())
+        stay = sorted(r.doc_id for r in exact_dedup.exact_dedup(df).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert got == [(i, i % 7, texts.count(t), i < 7) for i, t in enumerate(texts)]
+    assert stay == list(range(7))
+
+
 def test_exact_dedup_keeps_columns_and_one_row_of_each(spark, rows):
     df = documents(spark, rows)
     out = exact_dedup.exact_dedup(df)
