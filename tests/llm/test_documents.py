@@ -66,6 +66,17 @@ def test_exact_groups_of_partitions_of_several_batches(spark):
     assert stay == list(range(7))
 
 
+def test_the_pipelines_exact_dedup_takes_partitions_of_several_batches(spark):
+    import corpus_pipeline
+
+    name, stage = corpus_pipeline.STAGES[1]
+    df = spark.range(0, 25_000, numPartitions=2).select(F.col("id").alias("doc_id"), F.format_string("text of  %d", F.col("id") % 11_000).alias("text"), F.lit("x").alias("source"))
+    assert name == "exact dedup"
+    out = stage(spark, df, None)
+    assert out.columns == df.columns
+    assert out.agg(F.count("*"), F.countDistinct("text"), F.max("doc_id")).first()[:] == (11_000, 11_000, 10_999)
+
+
 def test_exact_dedup_keeps_columns_and_one_row_of_each(spark, rows):
     df = documents(spark, rows)
     out = exact_dedup.exact_dedup(df)
