@@ -176,6 +176,29 @@ def test_the_stage_links_by_fingerprint_what_shares_no_min_hash_key(spark):
     assert sorted(r.doc_id for r in out.collect()) == [1, 3]
 
 
+def test_the_stage_links_all_that_share_a_key_of_a_crowded_bucket(spark, monkeypatch):
+    """Texts about as alike as the limit: the most alike neighbour is often too far, the partner another one."""
+    monkeypatch.setattr(near_copies, "BLOCK", 40, raising=False)
+    r = random.Random(3)
+    base = ["%04x" % r.getrandbits(16) for _ in range(400)]
+    texts = []
+    for _ in range(150):
+        own = base[:]
+        for at in r.sample(range(400), 6):
+            own[at] = "%04x" % r.getrandbits(16)
+        texts.append(" ".join(own))
+    sets = [near_copies.shingles(t.encode()) for t in texts]
+    keys = np.array([near_copies.band_keys(near_copies.minima(s)) for s in sets])
+    prints = [simhash.fingerprint(t.encode()) for t in texts]
+    part = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if part[i] != part[j] and ((keys[i] == keys[j]).any() or (prints[i] ^ prints[j]).bit_count() <= 3) and near_copies.similar(sets[i], sets[j]):
+                part = [min(part[i], part[j]) if p in (part[i], part[j]) else p for p in part]
+    out = near_copies.without_near_copies(documents(spark, list(enumerate(texts))))
+    assert sorted(r.doc_id for r in out.collect()) == sorted(set(part))
+
+
 def test_fingerprint_by_definition():
     import xxhash
     text = "Be  be\x0bBE x É"
