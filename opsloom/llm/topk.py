@@ -5,15 +5,20 @@ block in step, slice by slice, each from the end that helps its score. It holds
 what was read, plus the worst that the unread lists can add. The upper bound adds, for every unread list, the distance from that worst to the
 value at the frontier. Reading stops as soon as no vector outside the k with the best lower bounds can still qualify, or at the end of the lists,
 where bounds are scores; the scores of the vectors that are left are then resolved. The k best of all blocks are merged by rank.
+
+No pair of blocks is shuffled. Queries are dealt into groups of bounded size, vectors into shelves; a cell is one group on one shelf. A task holds
+the queries of a cell, streams its vectors block by block and keeps the k best of each query. Shelves are about as many as there are vectors per query,
+so that copies of queries are no more rows than the vectors; nothing is joined, broadcast or sent to the driver but counts.
 """
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from opsloom.llm.common import settled, tasks
+from opsloom.llm.common import settled, starts_of_groups
 
 BLOCK = 4096
 QUERY_BLOCK = 512
+GROUP = 65536
 SLICE = 256
 
 
@@ -27,19 +32,14 @@ def quantised(vectors: DataFrame, key="vec_id", column="embedding", scale=256) -
     return settled(rows.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("vec_id"), q.alias("q")))
 
 
-def packed(rows: DataFrame, blocks, name: str) -> DataFrame:
-    """One row per block: its number and its rows."""
-    return rows.groupBy(blocks.alias(name)).agg(F.collect_list(F.struct("row", "vec_id", "q")).alias("own"))
-
-
-def matrix(own):
-    """(row numbers, ids, vectors), by id."""
-    own = sorted(own, key=lambda r: (r["vec_id"], r["row"]))
-    width = max((len(r["q"]) for r in own), default=0)
-    out = np.zeros((len(own), width), np.int64)
-    for i, r in enumerate(own):
-        out[i, :len(r["q"])] = r["q"]
-    return np.array([r["row"] for r in own], np.int64), np.array([r["vec_id"] for r in own], np.int64), out
+def matrix(rows: pa.Table):
+    """(row numbers, ids, vectors) by id, of rows (row, vec_id, q); shorter vectors are padded with zeros."""
+    rows = rows.sort_by([("vec_id", "ascending"), ("row", "ascending")]).combine_chunks()
+    q = rows.column("q").combine_chunks()
+    size, flat = q.value_lengths().to_numpy(), q.flatten().to_numpy()
+    out = np.zeros((len(size), int(size.max(initial=0))), np.int64)
+    out[np.arange(out.shape[1]) < size[:, None]] = flat
+    return rows.column("row").to_numpy(), rows.column("vec_id").to_numpy(), out
 
 
 class Block:
@@ -103,7 +103,36 @@ class Block:
         return out
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+def in_blocks(batches, block: int, query_block: int):
+    """(cell, asked, table) of sorted rows (cell, asked, row, vec_id, q): whole blocks as they fill up, the rest of a cell's queries or vectors as one."""
+    held, at = [], None
+
+    def full(size):
+        t = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        for start in range(0, t.num_rows, size):
+            yield (*at, t.slice(start, size))
+
+    for batch in batches:
+        cell, asked = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "asked"))
+        first = starts_of_groups(cell, asked)
+        for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(cell)]):
+            now = (int(cell[lo]), int(asked[lo]))
+            if held and now != at:
+                yield from full(query_block if at[1] == 0 else block)
+            at = now
+            size = query_block if at[1] == 0 else block
+            while lo < hi:
+                take = min(hi - lo, size - sum(h.num_rows for h in held))
+                held.append(batch.slice(lo, take))
+                lo += take
+                if sum(h.num_rows for h in held) == size:
+                    yield from full(size)
+    if held:
+        yield from full(query_block if at[1] == 0 else block)
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK, query_block: int = QUERY_BLOCK, group: int = GROUP) -> DataFrame:
     """Rows (query_id, rank, vec_id, score) for quantised queries against quantised vectors (row, vec_id, q).
 
     A row is never its own query's answer; rows that share an id are queries and answers of their own. Shorter vectors count as padded with zeros. Fewer than k candidates give
@@ -111,23 +140,40 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK
     64 dimensions; beyond, an OverflowError tells so.
     """
     n_vectors, n_queries = vectors.count(), queries.count()
-    blocks, query_blocks = max(1, -(-n_vectors // block)), max(1, -(-n_queries // query_block))
-    spread = lambda n: F.pmod(F.xxhash64("row"), F.lit(n))
-    left = packed(queries, spread(query_blocks), "qb").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
-    left = left.select("b", "qb", F.col("own").alias("asked"))
-    pairs = left.join(packed(vectors, spread(blocks), "b"), "b").repartition(tasks(vectors), "b", "qb")
+    groups = max(1, -(-n_queries // group))
+    wide = max(n_vectors // max(1, n_queries), 2 * vectors.sparkSession.sparkContext.defaultParallelism // groups)
+    shelves = max(1, min(-(-n_vectors // block), wide))
+    own = lambda n: F.pmod(F.xxhash64("row"), F.lit(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
+    left = queries.select(own(groups).alias("g"), every(shelves).alias("s"), F.lit(0).alias("asked"), "row", "vec_id", "q")
+    right = vectors.select(every(groups).alias("g"), own(shelves).alias("s"), F.lit(1).alias("asked"), "row", "vec_id", "q")
+    dealt = left.union(right).select((F.col("g") * shelves + F.col("s")).alias("cell"), "asked", "row", "vec_id", "q")
+    dealt = dealt.repartitionByRange(max(groups * shelves, 1), "cell").sortWithinPartitions("cell", "asked")
     schema = pa.schema([(n, pa.int64()) for n in ("query_row", "query_id", "vec_id", "score")])
 
     def search(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                rows, ids, vectors = matrix(batch.column("asked")[i].as_py())
-                own = Block(*matrix(batch.column("own")[i].as_py()))
-                if vectors.size and own.vectors.size and int(np.abs(vectors).max()) * int(np.abs(own.vectors).max()) * vectors.shape[1] >= 2 ** 63:
-                    raise OverflowError("scores of these vectors can exceed a long")
-                found = [(r, q, v, s) for r, q, best in zip(rows.tolist(), ids.tolist(), own.top(rows.tolist(), vectors, k)) for s, v in best]
+        def answers():
+            for (rows, ids, _), lists in zip(asked, best):
+                found = [(r, q, v, s) for r, q, own in zip(rows.tolist(), ids.tolist(), lists) for s, v in own]
                 yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], pa.int64()) for j in range(4)], schema=schema)
 
-    found = pairs.mapInArrow(search, "query_row long, query_id long, vec_id long, score long")
+        cell, asked, best = None, [], []
+        for number, kind, rows in in_blocks(batches, block, query_block):
+            if number != cell:
+                yield from answers()
+                cell, asked, best = number, [], []
+            if kind == 0:
+                asked.append(matrix(rows))
+                best.append([[] for _ in range(rows.num_rows)])
+                continue
+            some = Block(*matrix(rows))
+            for (own_rows, _, wanted), lists in zip(asked, best):
+                if wanted.size and some.vectors.size and int(np.abs(wanted).max()) * int(np.abs(some.vectors).max()) * wanted.shape[1] >= 2 ** 63:
+                    raise OverflowError("scores of these vectors can exceed a long")
+                for i, found in enumerate(some.top(own_rows, wanted, k)):
+                    lists[i] = sorted(lists[i] + found, key=lambda f: (-f[0], f[1]))[:k]
+        yield from answers()
+
+    found = dealt.mapInArrow(search, "query_row long, query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

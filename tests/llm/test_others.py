@@ -110,6 +110,21 @@ def test_top_k_of_repeated_ids(spark):
     assert got == sorted(want)
 
 
+def test_top_k_joins_and_broadcasts_nothing(spark):
+    """Queries stand in many cells; a plan that judges them by their size before may send all copies through the driver."""
+    rows = [(i, [float(i * 37 % 101), float(i * 11 % 89) - 40]) for i in range(600)]
+    vectors = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    asked = vectors.where("vec_id % 5 = 0")
+    got = topk.top_k(vectors, asked, 2, block=50, query_block=16, group=30)
+    best = {}
+    for r in sorted(got.collect(), key=lambda r: r["rank"]):
+        best.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    q = np.floor(256 * np.array([v for _, v in rows])).astype(int)
+    assert best == {i: [(j, -s) for s, j in sorted((-int(q[i] @ q[j]), j) for j in range(600) if j != i)[:2]] for i in range(0, 600, 5)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "BroadcastExchange" not in plan
+
+
 def test_top_k_equals_brute_force(spark):
     r = np.random.default_rng(1)
     base = r.normal(size=(5, 12))
